@@ -91,27 +91,27 @@ class EliasFano:
 class Trie:
     """Contexts, and under each its successors with a quantised probability.
 
-    Level 0: the sorted words of this shard. Level 1: the contexts as ranks in level 0, with monotone pointers to their
-    successors. Level 2: the successors as ranks in level 0, made ascending over all contexts by adding the context's
-    number times the number of words, so that a lookup is a successor search within the context's range.
+    Level 1: the sorted contexts, with monotone pointers to their successors. Level 2: the successors as ranks in the
+    sorted words of this shard, made ascending over all contexts by adding the context's number times the number of
+    words, so that a lookup is a successor search within the context's range.
     """
 
-    def __init__(self, words, contexts, pointers, successors, codes):
-        self.words, self.contexts, self.pointers, self.successors, self.codes = words, contexts, pointers, successors, codes
+    def __init__(self, contexts, pointers, words, successors, codes):
+        self.contexts, self.pointers, self.words, self.successors, self.codes = contexts, pointers, words, successors, codes
 
     @classmethod
-    def build(cls, first: np.ndarray, second: np.ndarray, codes: np.ndarray, file) -> Trie:
-        """first, second: word hashes, sorted by (first, second) without repeats. All levels go to the file, mapped."""
-        words = np.unique(np.concatenate((first, second)))
-        # 64-bit hashes are kept by their upper 62 bits and a sign-free shift; equal ones can't be told apart anyway.
-        one, two = np.searchsorted(words, first), np.searchsorted(words, second)
-        contexts, start = np.unique(one, return_index=True)
-        number = np.repeat(np.arange(len(contexts)), np.diff(np.append(start, len(one))))
+    def build(cls, first: np.ndarray, second: np.ndarray, codes: np.ndarray, file, universes: tuple[int, int]) -> Trie:
+        """first, second: numbers below the universes, sorted by (first, second), without repeats. All levels go to the
+        file, which is then mapped."""
+        contexts, start = np.unique(first, return_index=True)
+        words, rank = np.unique(second, return_inverse=True)
+        start = np.append(start, len(first))
+        number = np.repeat(np.arange(len(contexts)), np.diff(start))
         parts = [
-            EliasFano.arrays(words >> np.uint64(2), 1 << 62),
-            EliasFano.arrays(contexts, len(words) + 1),
-            EliasFano.arrays(np.append(start, len(one)), len(one) + 1),
-            EliasFano.arrays(number * len(words) + two, max(len(contexts) * len(words), 1)),
+            EliasFano.arrays(contexts, universes[0]),
+            EliasFano.arrays(start, len(first) + 1),
+            EliasFano.arrays(words, universes[1]),
+            EliasFano.arrays(number * len(words) + rank, max(len(contexts) * len(words), 1)),
         ]
         where, at = [], 0
         for a in [x for p in parts for x in p[2:]] + [codes]:
@@ -123,24 +123,23 @@ class Trie:
         arrays = [mapped[a : a + n] for a, n in where]
         return cls(*[EliasFano(p[0], p[1], arrays[2 * k], arrays[2 * k + 1]) for k, p in enumerate(parts)], arrays[-1].view(codes.dtype))
 
-    def _rank(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = (words >> np.uint64(2)).astype(np.int64)
-        i = self.words.successor(x)
-        return i, (i < self.words.n) & (self.words.get(np.minimum(i, self.words.n - 1)) == x)
-
     def lookup(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """The code of each n-gram, 0 for one that the trie doesn't have."""
         out = np.zeros(len(first), self.codes.dtype)
-        if not self.words.n or not len(first):
+        if not self.contexts.n or not len(first):
             return out
-        one, ok = self._rank(first)
-        two, ok2 = self._rank(second)
-        c = self.contexts.successor(one)
-        ok &= ok2 & (c < self.contexts.n) & (self.contexts.get(np.minimum(c, self.contexts.n - 1)) == one)
-        at = np.flatnonzero(ok)
-        x = c[at] * self.words.n + two[at]
+        c, found = _place(self.contexts, first)
+        w, found2 = _place(self.words, second)
+        at = np.flatnonzero(found & found2)
+        x = c[at] * self.words.n + w[at]
         low, high = self.pointers.get(c[at]), self.pointers.get(c[at] + 1)
         i = self.successors.successor(x, low, high)
         hit = (i < high) & (self.successors.get(np.minimum(i, self.successors.n - 1)) == x)
         out[at[hit]] = self.codes[i[hit]]
         return out
+
+
+def _place(level: EliasFano, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each number stands in a level, and whether it does."""
+    i = level.successor(x.astype(np.int64))
+    return i, (i < level.n) & (level.get(np.minimum(i, level.n - 1)) == x.astype(np.int64))

@@ -1,7 +1,9 @@
 """LM scoring with an n-gram model over all training text, kept as Elias-Fano tries dealt out over shards.
 
-1. Documents are packed into blocks of about BLOCK_TOKENS tokens; a block keeps its distinct words (64-bit hashes) and
+1. Documents are packed into blocks of about BLOCK_TOKENS tokens; a block keeps its distinct words (as hashes) and
    its texts as numbers of them. Blocks are written once.
+   Words are 48-bit hashes, and 40 bits of them tell a context's successors apart: of a billion words, one in 300,000
+   shares its hash with another.
 2. Each block counts its words and word pairs in training documents, and sends each to a shard by a hash of the n-gram,
    so a frequent word's pairs are dealt out too, and a pair is sent once per block however often it occurs.
 3. A shard adds the counts up, builds the trie of its pairs (quantised log probabilities in memory-mapped levels), and
@@ -36,11 +38,13 @@ from .scratch import written
 FOLDS, MU = 10, 10.0
 BLOCK_TOKENS = 1_500_000
 #: Tokens per shard, about.
-SHARD_TOKENS = 4_000_000
-#: Key of the end token: no word has it but by a chance of 2**-64.
-END = np.uint64(0x1F3D5B79A2C4E68D)
+SHARD_TOKENS = 1_000_000
+#: Bytes of a word's hash, and of a successor's.
+WORD, NEXT = 6, 5
+#: Key of the end token: no word has it but by chance.
+END = np.uint64(0x1F3D5B79A2C4)
 #: Parts into which a word's pairs are dealt: pairs of one word go to so many shards at most.
-SALTS = 16
+SALTS = 8
 STEPS = np.concatenate((np.arange(128), np.round(127 * 1.04 ** np.arange(1, 640)))).astype(np.float64)
 
 BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.binary()), ("words", pa.binary()), ("tokens", pa.binary()), ("n_train", pa.int64())])
@@ -60,7 +64,7 @@ def tokens_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = bo.lowered(data)
     starts, ends = bo.spans(data, bo.NOT_SPACE)
     bounds = bo.rows_of(starts, offsets)
-    keys = bo.hashed(bo.prefix_sums(data), starts, ends)
+    keys = bo.hashed(bo.prefix_sums(data), starts, ends) >> np.uint64(64 - 8 * WORD)
     return np.insert(keys, bounds[1:], END), np.diff(bounds) + 1
 
 
@@ -82,7 +86,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
         order = np.argsort(-np.bincount(tokens), kind="stable")
         number = np.empty(len(order), np.uint32)
         number[order] = np.arange(len(order), dtype=np.uint32)
-        row = [[(part << 24) + k], [ids], [held], [n.astype(np.int64).tobytes()], [words[order].tobytes()], [_shrunk(number[tokens])], [int(n[~np.array(held)].sum())]]
+        row = [[(part << 24) + k], [ids], [held], [n.astype(np.int64).tobytes()], [_planes(words[order], WORD)], [_shrunk(number[tokens])], [int(n[~np.array(held)].sum())]]
         return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, BLOCK, strict=True)], schema=BLOCK)
 
     for batch in batches:
@@ -101,18 +105,30 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
 
 
 def _shrunk(numbers: np.ndarray) -> bytes:
-    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    """32-bit numbers, mostly small, byte by byte and compressed."""
+    return zlib.compress(_planes(numbers, 4), 1)
 
 
 def _grown(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return _numbers(zlib.decompress(data), 4).astype(np.int64)
+
+
+def _planes(numbers: np.ndarray, k: int) -> bytes:
+    """The low k bytes of each number: all first bytes, then all second ones, ..."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes()
+
+
+def _numbers(data: bytes, k: int) -> np.ndarray:
+    wide = np.zeros((len(data) // k, 8), np.uint8)
+    wide[:, :k] = np.frombuffer(data, np.uint8).reshape(k, -1).T
+    return wide.view("<u8").ravel()
 
 
 class Grams:
     """A block's distinct words and pairs, in the order of the shards that they belong to."""
 
     def __init__(self, words: bytes, tokens: bytes, sizes: bytes, held: list[bool], shards: int):
-        self.words, self.tokens = np.frombuffer(words, np.uint64), _grown(tokens)
+        self.words, self.tokens = _numbers(words, WORD), _grown(tokens)
         self.sizes = np.frombuffer(sizes, np.int64)
         self.train = np.repeat(~np.array(held, bool), self.sizes)
         end = int(np.flatnonzero(self.words == END)[0])
@@ -129,25 +145,26 @@ class Grams:
         of_word = bo.mix(self.words) % np.uint64(shards)
         # Within a shard: words ascending; pairs by first, then second word.
         self.word_order = np.lexsort((self.words, of_word))
-        self.pair_order = np.lexsort((self.words[second], self.words[first], of_pair))
+        following = self.words >> np.uint64(8 * (WORD - NEXT))
+        self.pair_order = np.lexsort((following[second], self.words[first], of_pair))
         self.word_shard, self.pair_shard = of_word[self.word_order].astype(np.int64), of_pair[self.pair_order].astype(np.int64)
-        self.first, self.second = self.words[first[self.pair_order]], self.words[second[self.pair_order]]
+        self.first, self.second = self.words[first[self.pair_order]], following[second[self.pair_order]]
 
 
 def _messages(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in batch.to_pylist():
             g = Grams(r["words"], r["tokens"], r["sizes"], r["held_out"], shards)
-            counts = np.bincount(g.tokens, g.train, len(g.words)).astype(np.uint32)[g.word_order]
-            pairs = np.bincount(g.pair, g.train).astype(np.uint32)[g.pair_order]
+            counts = np.bincount(g.tokens, g.train, len(g.words)).astype(np.int64)[g.word_order]
+            pairs = np.bincount(g.pair, g.train).astype(np.int64)[g.pair_order]
             words = g.words[g.word_order]
             out = []
             for s in np.union1d(g.word_shard, g.pair_shard).tolist():
                 a, b = np.searchsorted(g.word_shard, [s, s + 1])
                 c, d = np.searchsorted(g.pair_shard, [s, s + 1])
                 firsts, at = np.unique(g.first[c:d], return_index=True)
-                # The first words and how many pairs each has; second words by 8 bytes: they don't compress.
-                out.append((s, r["block"], words[a:b].tobytes(), counts[a:b].tobytes(), firsts.tobytes(), np.diff(np.append(at, d - c)).astype(np.uint32).tobytes(), g.second[c:d].tobytes(), pairs[c:d].tobytes()))
+                # The first words and how many pairs each has, then the second words.
+                out.append((s, r["block"], _planes(words[a:b], WORD), _shrunk(counts[a:b]), _planes(firsts, WORD), _shrunk(np.diff(np.append(at, d - c))), _planes(g.second[c:d], NEXT), _shrunk(pairs[c:d])))
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), MESSAGE, strict=True)], schema=MESSAGE)
 
 
@@ -173,17 +190,17 @@ def _summed(keys: tuple[np.ndarray, ...], counts: np.ndarray) -> tuple[list[np.n
 def _answers(table: pa.Table) -> pa.Table:
     """All that one shard was sent: counts added up, the trie built and asked for each block's pairs."""
     col = {n: table.column(n).to_pylist() for n in MESSAGE.names}
-    read = lambda name, kind: [np.frombuffer(x, kind) for x in col[name]]
-    words, word_counts, seconds, pair_counts = read("words", np.uint64), read("word_counts", np.uint32), read("seconds", np.uint64), read("pair_counts", np.uint32)
-    firsts = [np.repeat(a, n) for a, n in zip(read("firsts", np.uint64), read("first_sizes", np.uint32), strict=True)]
-    (known,), total = _summed((np.concatenate(words),), np.concatenate(word_counts).astype(np.int64))
-    (one, two), n = _summed((np.concatenate(firsts), np.concatenate(seconds)), np.concatenate(pair_counts).astype(np.int64))
+    words, seconds = [_numbers(x, WORD) for x in col["words"]], [_numbers(x, NEXT) for x in col["seconds"]]
+    word_counts, pair_counts = ([_grown(x) for x in col[n]] for n in ("word_counts", "pair_counts"))
+    firsts = [np.repeat(_numbers(a, WORD), _grown(n)) for a, n in zip(col["firsts"], col["first_sizes"], strict=True)]
+    (known,), total = _summed((np.concatenate(words),), np.concatenate(word_counts))
+    (one, two), n = _summed((np.concatenate(firsts), np.concatenate(seconds)), np.concatenate(pair_counts))
     seen = n > 0
     with tempfile.TemporaryFile() as file:  # no name, and gone with the task
-        trie = Trie.build(one[seen], two[seen], _coded(n[seen]), file)
-        codes = [trie.lookup(a, b).tobytes() for a, b in zip(firsts, seconds, strict=True)]
+        trie = Trie.build(one[seen], two[seen], _coded(n[seen]), file, (1 << 8 * WORD, 1 << 8 * NEXT))
+        codes = [_shrunk(trie.lookup(a, b)) for a, b in zip(firsts, seconds, strict=True)]
         del trie
-    counts = [total[np.searchsorted(known, w)].tobytes() for w in words]
+    counts = [zlib.compress(_planes(total[np.searchsorted(known, w)], 8), 1) for w in words]
     types = [int((total > 0).sum())] + [0] * (len(codes) - 1)
     return pa.table([col["shard"], col["block"], counts, codes, types], schema=ANSWER)
 
@@ -191,8 +208,9 @@ def _answers(table: pa.Table) -> pa.Table:
 def _scored(blocks: pa.Table, answers: pa.Table, shards: int, tokens: int, types: int, mu: float) -> pa.Table:
     out = []
     replies = answers.sort_by("shard")
-    counts = np.concatenate([np.frombuffer(x, np.int64) for x in replies.column("counts").to_pylist()] or [np.zeros(0, np.int64)])
-    codes = np.concatenate([np.frombuffer(x, np.uint16) for x in replies.column("codes").to_pylist()] or [np.zeros(0, np.uint16)])
+    none = [np.zeros(0, np.int64)]
+    counts = np.concatenate([_numbers(zlib.decompress(x), 8).astype(np.int64) for x in replies.column("counts").to_pylist()] or none)
+    codes = np.concatenate([_grown(x) for x in replies.column("codes").to_pylist()] or none)
     for r in blocks.to_pylist():
         g = Grams(r["words"], r["tokens"], r["sizes"], r["held_out"], shards)
         c, pair = np.empty(len(g.words), np.int64), np.empty(len(g.pair_order))
@@ -211,8 +229,8 @@ def score_lm(docs: DataFrame, mu: float = MU, block_tokens: int = BLOCK_TOKENS,
     blocks = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda x: _blocks(x, block_tokens), ddl(BLOCK)), "blocks")
     total = blocks.agg(F.sum("n_train").alias("n"), F.sum(F.octet_length("sizes")).alias("docs")).first()
     tokens = total["n"] or 0
-    shards = max(1, -(-tokens // shard_tokens)) * 2
-    sent = blocks.drop("n_train").repartition("block").mapInArrow(lambda x: _messages(x, shards), ddl(MESSAGE))
+    shards = max(1, -(-tokens // shard_tokens))
+    sent = blocks.drop("n_train").mapInArrow(lambda x: _messages(x, shards), ddl(MESSAGE))
     answers = written(sent.groupBy("shard").applyInArrow(_answers, ddl(ANSWER)), "answers")
     types = answers.agg(F.sum("types")).first()[0] or 0
     both = blocks.groupBy("block").cogroup(answers.groupBy("block"))
