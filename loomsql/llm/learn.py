@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import subword as sw
 
 #: Labelled documents of each class that a classifier is fitted on at most (the bound of the sample).
-SAMPLE_PER_CLASS = 2000
+SAMPLE_PER_CLASS = 1500
 
 
 def remainder(id_col: str, by: int) -> Column:

@@ -15,6 +15,10 @@ import pyarrow as pa
 from . import bytesops as bo
 
 
+#: Bytes of text that are scored at once: their n-grams take some hundred times as much memory.
+SCORED_BYTES = 512 << 10
+
+
 @dataclass(frozen=True)
 class Config:
     """mean_of_words: a word's vector is the mean of its subwords' and a text's the mean of its words';
@@ -107,7 +111,7 @@ def score(model: Model, column: pa.Array) -> np.ndarray:
     """Probability of label 1 for each whole text. A text without words gets what the bias says."""
     c, array = model.config, bo.texts(column)
     out = np.empty(len(array))
-    for row, part in bo.slices(array):
+    for row, part in bo.slices(array, SCORED_BYTES):
         w = Words(part, c)
         total = np.bincount(w.word, model.weight[w.buckets], len(w.keys))
         if c.mean_of_words:
@@ -119,9 +123,10 @@ def score(model: Model, column: pa.Array) -> np.ndarray:
 
 
 def features(array: pa.Array, c: Config) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, bucket, weight) by text: with these weights the sum of the buckets' vectors is the text's vector."""
-    parts = []
-    for row, part in bo.slices(array, 1 << 18):
+    """Bounds of each text's entries, their buckets and weights: so weighted, the sum of the buckets' vectors is the
+    text's vector. Eight bytes an entry are kept."""
+    counted, buckets, weights = [np.zeros(1, np.int64)], [], []
+    for _, part in bo.slices(array, 1 << 18):
         w = Words(part, c)
         counts = np.diff(w.bounds)
         doc = np.repeat(np.arange(len(part)), counts)
@@ -135,8 +140,11 @@ def features(array: pa.Array, c: Config) -> tuple[np.ndarray, np.ndarray, np.nda
         bucket = w.buckets[_ranges(first[word], w.sizes[word])]
         weight = np.repeat(times * share[doc] * per_word[word], w.sizes[word])
         key, inverse = np.unique(np.repeat(doc, w.sizes[word]) * c.buckets + bucket, return_inverse=True)
-        parts.append((key // c.buckets + row, (key % c.buckets).astype(np.int32), np.bincount(inverse, weight, len(key)).astype(np.float32)))
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+        counted.append(np.bincount(key // c.buckets, minlength=len(part)))
+        buckets.append((key % c.buckets).astype(np.int32))
+        weights.append(np.bincount(inverse, weight, len(key)).astype(np.float32))
+    buckets = np.concatenate(buckets)
+    return np.cumsum(np.concatenate(counted)), buckets, np.concatenate(weights)
 
 
 def fit(column: pa.Array, labels: np.ndarray, c: Config, prior: float | None = None) -> Model:
@@ -145,8 +153,7 @@ def fit(column: pa.Array, labels: np.ndarray, c: Config, prior: float | None = N
     if not len(y) or y.min() == y.max():  # nothing to tell apart
         share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
         return Model(c, np.zeros(c.buckets, np.float32), float(np.log(share / (1 - share))), len(y))
-    of_text, buckets, weights = features(array, c)
-    first = np.concatenate(([0], np.cumsum(np.bincount(of_text, minlength=len(y)))))
+    first, buckets, weights = features(array, c)
     rng = np.random.default_rng(c.seed)
     vectors = rng.normal(0, 0.1, (c.dim, c.buckets)).astype(np.float32)
     # Of a two-class softmax only the difference of the classes' rows matters.
