@@ -270,6 +270,12 @@ _program_query("corrupt_missing_group_by", lambda p: P.corrupted_sql(p, "missing
 _program_query("column_refs", lambda p: F.array_join(F.transform(F.flatten(F.transform(P.expressions(p), P.column_refs)), lambda r: F.concat_ws(".", r["alias"], r["name"])), ","), "'t1.region,t2.shipping_cost,t1.region,t2.warehouse_id,t1.warehouse_id,t1.region,t2.shipping_cost,t1.region'")
 _program_query("resolve_errors", lambda p: F.array_join(P.resolve_errors(P.unknown_column(p), FAMILIES), ","), "'Unknown column: t1.unknown_column'")
 _program_query("logic_errors", lambda p: F.array_join(P.logic_errors(P.invalid_join_condition(P.missing_group_by(p), F.lit("logistics")), FAMILIES), ","), "'Aggregate without GROUP BY,Not in the join graph: t1.warehouse_id = t2.shipment_status'")
+_program_query("from_tables", lambda p: F.array_join(P.from_tables(p), ","), "'warehouses,shipments'")
+_program_query(
+    "validation_report",
+    lambda p: F.to_json(P.validation_report(P.unknown_column(P.missing_group_by(p)), F.array().cast("array<string>"), FAMILIES)),
+    """'{"is_valid":false,"stage_results":{"parse":true,"resolve":false,"logic":false},"errors":{"resolve":["Unknown column: t1.unknown_column"],"logic":["Aggregate without GROUP BY"]}}'""",
+)
 for _o, (_, _stage, _) in P.CORRUPTIONS.items():
     _program_query(f"failure_stage_{_o}", lambda p, o=_o: P.failure_stage(F.lit(o != "missing_comma"), P.corrupted(p, o, F.lit("logistics")), FAMILIES), f"'{_stage}'")
 

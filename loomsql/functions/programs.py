@@ -190,3 +190,20 @@ def logic_errors(p: Column, schemas: list[Schema]) -> Column:
 
 def failure_stage(parses: Column, p: Column, schemas: list[Schema]) -> Column:
     return F.when(~parses, "parse").when(F.size(resolve_errors(p, schemas)) > 0, "resolve").when(F.size(logic_errors(p, schemas)) > 0, "logic").otherwise("valid")
+
+
+def validation_report(p: Column, parse_errors: Column, schemas: list[Schema]) -> Column:
+    """is_valid, the outcome of each stage, and the errors of those that failed. All stages run, whatever an earlier one
+    found. `parse_errors` come from Spark's parser (operators/validate.py) and are empty for a text that parses."""
+    errors = {"parse": parse_errors, "resolve": resolve_errors(p, schemas), "logic": logic_errors(p, schemas)}
+    passed = {stage: F.size(found) == 0 for stage, found in errors.items()}
+    return F.struct(
+        reduce(lambda a, b: a & b, passed.values()).alias("is_valid"),
+        F.struct(*[ok.alias(stage) for stage, ok in passed.items()]).alias("stage_results"),
+        F.map_filter(F.create_map(*[x for stage, found in errors.items() for x in (F.lit(stage), found)]), lambda _, found: F.size(found) > 0).alias("errors"),
+    )
+
+
+def from_tables(p: Column) -> Column:
+    """Names of the base table and of the joined ones, in FROM order."""
+    return F.concat(F.array(p["base_table"]["name"]), F.transform(p["joins"], lambda j: j["right_table"]["name"]))

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from loomsql import catalogue
+from loomsql import catalogue, cli
 from loomsql.functions import keys
 from loomsql.functions import programs as P
 from loomsql.operators import dedup
@@ -73,6 +73,37 @@ def test_cap_keeps_first_of_each_variant(spark):
     assert [r["pos"] for r in kept.collect()] == [1, 4, 5, 2]
 
 
+def test_command_line(spark, tmp_path, capsys):
+    tables = [
+        {"name": "w", "primary_key": "id", "columns": [{"name": "id", "data_type": "integer"}, {"name": "region", "data_type": "text"}]},
+        {"name": "s", "primary_key": "id", "columns": [{"name": "id", "data_type": "integer"}, {"name": "w_id", "data_type": "integer", "value_strategy": "foreign_key"}, {"name": "cost", "data_type": "decimal"}],
+         "foreign_keys": [{"column": "w_id", "references_table": "w", "references_column": "id"}]},
+    ]
+    config = tmp_path / "x.yaml"
+    config.write_text(json.dumps({"schema_family": "x", "version": "v1", "tables": tables}))
+    said = lambda *a: (cli.main(list(a), spark), capsys.readouterr().out.splitlines())[1]
+    assert said("schema", str(config), "--output-dir", str(tmp_path)) == [str(tmp_path / "x_v1.json")]
+    assert said("clean", str(config), "--seed", "3")[0].startswith("SELECT ")
+    out = said("corrupt", str(config), "--operator", "missing_group_by")
+    assert out[out.index("-- observed_failure_stage") + 1] == out[out.index("-- intended_failure_stage") + 1] == "logic"
+    assert said("normalize", str(config))[-4:] == list(P.RULES)
+    with pytest.raises(ValueError):
+        cli.main(["corrupt", str(config), "--complexity", "easy", "--operator", "missing_group_by"], spark)
+    (tmp_path / "r" / "data").mkdir(parents=True)
+    (tmp_path / "r" / "data" / "records.jsonl").write_text("{}\n")
+    (tmp_path / "r" / "manifest.json").write_text("{}")
+    assert said("stage", "--release-dir", str(tmp_path / "r"), "--output-dir", str(tmp_path / "d")) == [str(tmp_path / "d")] and (tmp_path / "d" / "data" / "records.jsonl").exists()
+
+
+def test_validation_report_runs_all_stages(spark):
+    p = program.generate(BY_NAME["logistics"], template_id="t", complexity="medium", seed=2)
+    none = F.array().cast("array<string>")
+    good = sql(spark, p, lambda c: P.validation_report(c, none, FAMILIES))
+    assert good["is_valid"] and good["errors"] == {}
+    bad = sql(spark, p, lambda c: P.validation_report(P.unknown_column(P.missing_group_by(c)), F.array(F.lit("no SQL")), FAMILIES))
+    assert not bad["is_valid"] and set(bad["errors"]) == {"parse", "resolve", "logic"} and not any(bad["stage_results"])
+
+
 def test_release(spark, tmp_path):
     paths = corpus.build_release(spark, corpus.RELEASE, tmp_path, FAMILIES)
     manifest = json.loads((tmp_path / "manifest.json").read_text())
