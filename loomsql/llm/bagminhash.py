@@ -8,9 +8,11 @@ are left out. A component's value is the least time that it gets, and two docume
 the probability of their weighted Jaccard similarity. A process ends once its time exceeds the document's largest value,
 so most shingles cost one or two points whatever the signature's length.
 
-Candidates: of each bucket of equal bands one leader (by a hash that differs by band) is compared with each other text,
-never all pairs; since bands have leaders of their own, a text meets many members of a large group. A candidate counts
-if sum(min) / sum(max) of the multisets is at least the threshold. Classes are the components of what counts.
+Candidates: of each bucket of equal bands one leader (by a hash that differs by band) is compared with each other text.
+A candidate counts if sum(min) / sum(max) of the multisets is at least the threshold. Classes are the components of what
+counts. Buckets that hold texts of two classes or more then get further leaders, round by round, which are compared with
+the texts of other classes only, until a bucket is of one class or all its texts have led. So no link between two texts
+of a bucket is lost, while the pairs of a large group are not made: its texts are of one class after a round or two.
 
 Equal texts are one node from the start. Nodes are MD5 digests of whole texts. Signatures: with 100 components in 20
 bands a pair of similarity 0.8 shares a bucket with probability 0.9996.
@@ -32,6 +34,8 @@ from .components import components
 from .scratch import written
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 20, 5, 0.8
+#: Texts that lead a bucket in the round after the first; four times as many in each round after that.
+FIRST_LEADERS = 8
 #: Points made at once in a round of the signature's processes.
 _POINTS = 200_000
 
@@ -144,33 +148,81 @@ def _key(text: str) -> Column:
     return F.md5(F.coalesce(F.col(text), F.lit("")))
 
 
+def _members(nodes: DataFrame) -> DataFrame:
+    """key, band, hash: each text in each of its buckets."""
+    return nodes.select("key", F.posexplode("bands").alias("band", "hash"))
+
+
 def _candidates(nodes: DataFrame) -> DataFrame:
-    """node, leader of the buckets of more than one text. nodes: key, bands."""
-    members = nodes.select("key", F.posexplode("bands").alias("band", "hash"))
+    """one, two: each text of a bucket of more than one, with the bucket's leader."""
+    members = _members(nodes)
     # The leader is a minimum, so it is combined before the shuffle, and the join back can be split where it is skewed.
     leaders = members.groupBy("band", "hash").agg(F.min_by("key", F.xxhash64("key", "band")).alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
     found = members.join(leaders, ["band", "hash"]).where("key <> leader")
     return found.select(F.greatest("key", "leader").alias("one"), F.least("key", "leader").alias("two")).distinct()
 
 
-def links(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """one, two: keys of different texts whose multisets overlap by the threshold."""
-    pairs = written(_candidates(nodes), "pairs")
+def _bags(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """key, bag of the texts that occur in pairs."""
     wanted = pairs.select(F.col("one").alias("key")).union(pairs.select("two")).distinct()
 
     @F.arrow_udf("binary")
     def bag(column: pa.Array) -> pa.Array:
         return packed(column)
 
+    texts = docs.select(_key("text").alias("key"), "text").join(wanted, "key", "left_semi").dropDuplicates(["key"])
+    return texts.select("key", bag("text").alias("bag"))
+
+
+def links(pairs: DataFrame, found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs (one, two, ...) whose multisets, from the bags found, overlap by the threshold."""
+
     @F.arrow_udf("double")
     def similar(one: pa.Array, two: pa.Array) -> pa.Array:
         return pa.array([overlap(a, b) for a, b in zip(one.to_pylist(), two.to_pylist(), strict=True)], pa.float64())
 
-    texts = docs.select(_key("text").alias("key"), "text").join(wanted, "key", "left_semi").dropDuplicates(["key"])
-    found = written(texts.select("key", bag("text").alias("bag")), "bags")
     sides = [found.select(F.col("key").alias(k), F.col("bag").alias(f"bag_{k}")) for k in ("one", "two")]
     checked = pairs.join(sides[0], "one").join(sides[1], "two")
-    return checked.where(similar("bag_one", "bag_two") >= threshold).select("one", "two")
+    return checked.where(similar("bag_one", "bag_two") >= threshold).drop("bag_one", "bag_two")
+
+
+def _merged(rows: DataFrame, step: DataFrame) -> DataFrame:
+    """The rows with the root of each root; a root that step doesn't have stays."""
+    step = step.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    return rows.join(step, "root", "left").withColumn("root", F.coalesce("_to", "root")).drop("_to")
+
+
+def _open(members: DataFrame, leaders: int) -> DataFrame:
+    """The members (key, band, hash, root, n) of the buckets that hold texts of two classes or more and texts that haven't
+    led yet. Least and greatest roots are combined before the shuffle."""
+    left = members.groupBy("band", "hash").agg(F.min("root").alias("a"), F.max("root").alias("z"), F.count("*").alias("n"))
+    return members.join(left.where((F.col("a") != F.col("z")) & (F.col("n") > leaders)).drop("a", "z"), ["band", "hash"])
+
+
+def roots(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """key, root: the class of each text. In rounds, leaders of buckets are compared with the members of other classes;
+    links merge classes at once, so that few pairs of a large group are ever made. It ends when each bucket is of one
+    class or all its texts have led, that is, when each pair of a bucket has been compared or needn't be."""
+    pairs = written(_candidates(nodes), "pairs")
+    # Whoever shares a bucket is in one of these pairs, so no later round needs a text.
+    found = written(_bags(docs, pairs), "bags")
+    step = written(components(links(pairs, found, threshold), "one", "two"), "step")
+    named = written(_merged(nodes.select("key", F.col("key").alias("root")), step), "roots")
+    members = written(_open(_members(nodes).join(named, "key"), 0), "open")
+    before, leaders = 0, FIRST_LEADERS
+    # A text leads a bucket of n once its place in [0, 1), which differs by band, is below leaders / n.
+    place = F.pmod(F.xxhash64("key", "band"), F.lit(1 << 40)) / float(1 << 40)
+    while not members.isEmpty():
+        waiting = members.withColumn("_at", place * F.col("n")).where(F.col("_at") >= before)
+        lead = waiting.where(F.col("_at") < leaders).select("band", "hash", F.col("key").alias("k"), F.col("root").alias("r"))
+        met = waiting.join(lead, ["band", "hash"]).where("root <> r")
+        ordered = lambda a, b: F.when(F.col("key") > F.col("k"), F.col(a)).otherwise(F.col(b))
+        met = met.select(ordered("key", "k").alias("one"), ordered("k", "key").alias("two"), ordered("root", "r").alias("root_one"), ordered("r", "root").alias("root_two"))
+        step = written(components(links(written(met.distinct(), "pairs"), found, threshold), "root_one", "root_two"), "step")
+        named = written(_merged(named, step), "roots")
+        members = written(_open(_merged(members.drop("n"), step), leaders), "open")
+        before, leaders = leaders, leaders * 4
+    return named
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -182,8 +234,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
 
     rows = written(docs.select("doc_id", _key("text").alias("key"), banded(F.col("text")).alias("bands")), "signatures")
     nodes = written(rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands")), "nodes")
-    found = components(links(docs, nodes, threshold), "one", "two")
-    named = nodes.select("key", "doc_id").join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    named = nodes.select("key", "doc_id").join(roots(docs, nodes, threshold), "key")
     # The text that stands for a class has its least doc_id; ids that texts share are told apart by the key.
     best = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("b"))
     return rows.select("doc_id", "key"), written(named.join(best, "root").select("key", F.col("b.doc_id").alias("class_id"), F.col("b.key").alias("class_key")), "classes")

@@ -229,3 +229,28 @@ def test_all_ten_are_registered():
 def test_texts_of_one_to_four_words_are_one_shingle():
     keys, bounds = bagminhash.shingles(pa.array(["a b c", "A, b! c", "", "a b c d e f"], pa.large_string()))
     assert bounds.tolist() == [0, 1, 2, 2, 4] and keys[0] == keys[1]
+
+
+def test_no_link_of_a_bucket_is_lost(spark):
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for n in range(60):
+        own = list(base)
+        for at in rng.choice(len(base), 1 + n % 4, replace=False):
+            own[at] = f"x{rng.integers(1000)}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # All in one bucket, as in a large group of near copies.
+    nodes = docs.select(bagminhash._key("text").alias("key"), F.array(F.lit(7).cast("long")).alias("bands"))
+    got = {r["key"]: r["root"] for r in bagminhash.roots(docs, nodes, 0.88).collect()}
+    keys = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+    packs = bagminhash.packed(pa.array(texts, pa.large_string())).to_pylist()
+    root = {k: k for k in keys}
+    find = lambda i: i if root[i] == i else find(root[i])
+    for i, j in combinations(range(len(texts)), 2):
+        if bagminhash.overlap(packs[i], packs[j]) >= 0.88:
+            x, y = sorted((find(keys[i]), find(keys[j])))
+            root[y] = x
+    one, two = ({frozenset(k for k in keys if of[k] == r) for r in of.values()} for of in (got, {k: find(k) for k in keys}))
+    assert one == two and 1 < len(one) < len(texts)
