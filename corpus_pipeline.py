@@ -40,7 +40,7 @@ STAGES = [
     ("mixing", mix),
 ]
 
-#: Trained models and signatures have no SQL form; tests compare each stage with a brute-force version.
+#: Trained models and signatures have no SQL form; tests/llm compares the stages' operators with brute-force versions.
 ORACLE_SQL = None
 
 
