@@ -10,9 +10,9 @@ so most shingles cost one or two points whatever the signature's length.
 
 Candidates: of each bucket of equal bands one leader (by a hash that differs by band) is compared with each other text.
 A candidate counts if sum(min) / sum(max) of the multisets is at least the threshold. Classes are the components of what
-counts. Buckets that hold texts of two classes or more then get further leaders, round by round, which are compared with
-the texts of other classes only, until a bucket is of one class or all its texts have led. So no link between two texts
-of a bucket is lost, while the pairs of a large group are not made: its texts are of one class after a round or two.
+counts. Most buckets are then of one class. In each other one the texts outside of its largest class are compared with
+all of its texts, in blocks of bounded size: a block gives the links that join classes, never its pairs. So no link
+between two classes of a bucket is lost, and the pairs within a large class are not made.
 
 Equal texts are one node from the start. Nodes are MD5 digests of whole texts. Signatures: with 100 components in 20
 bands a pair of similarity 0.8 shares a bucket with probability 0.9996.
@@ -34,8 +34,10 @@ from .components import components
 from .scratch import written
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 20, 5, 0.8
-#: Texts that lead a bucket in the round after the first; four times as many in each round after that.
-FIRST_LEADERS = 8
+#: Texts and bytes of bags in a side of a block, on average: bounds of what a task holds, not of what is compared.
+BLOCK_TEXTS, BLOCK_BYTES = 512, 4 << 20
+#: Shingles that a block's texts are laid out by at once.
+_COLUMNS = 4096
 #: Points made at once in a round of the signature's processes.
 _POINTS = 200_000
 
@@ -126,24 +128,68 @@ def bands(column: pa.Array, n_bands: int = BANDS, rows: int = ROWS) -> pa.Array:
 
 
 def packed(column: pa.Array) -> pa.Array:
-    """Each text's bag as bytes: its shingles ascending, then their weights, 8 bytes each."""
+    """Each text's bag as the bytes of a set, ascending, 8 bytes each: the first, second, ... of equal shingles are
+    different elements, so sum(min) of two bags is the size of their sets' intersection."""
     out = []
     for _, part in bo.slices(bo.texts(column)):
         doc, keys, weights = bags(part)
+        with np.errstate(over="ignore"):
+            keys = np.repeat(keys, weights) + _within(weights).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
+        doc = np.repeat(doc, weights)
+        keys = keys[np.lexsort((keys, doc))]
         at = np.searchsorted(doc, np.arange(len(part) + 1))
-        out += [keys[a:b].tobytes() + weights[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+        out += [keys[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
     return pa.array(out, pa.binary())
 
 
 def overlap(one: bytes, two: bytes) -> float:
     """sum(min) / sum(max) of two packed bags; 0 if both are empty."""
-    (a, x), (b, y) = ((np.frombuffer(z, np.uint64)[: len(z) // 16], np.frombuffer(z, np.int64)[len(z) // 16 :]) for z in (one, two))
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    both = int(np.minimum(x[i], y[j]).sum())
-    total = int(x.sum() + y.sum()) - both
+    a, b = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    total = len(a) + len(b) - both
     return both / total if total else 0.0
 
 
+def overlaps(one: list[bytes], two: list[bytes]) -> np.ndarray:
+    """The overlap of each packed bag of one with each of two."""
+    sizes = np.array([len(z) // 8 for z in one + two])
+    elements, row = np.frombuffer(b"".join(one + two), np.uint64), np.repeat(np.arange(len(sizes)), sizes)
+    found, column, n = np.unique(elements, return_inverse=True, return_counts=True)
+    shared = np.cumsum(n > 1) - 1  # what only one text has is in no intersection
+    on = n[column] > 1
+    row, column = row[on], shared[column[on]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(one), len(two)))
+    for start in range(0, int((n > 1).sum()), _COLUMNS):
+        a, b = np.searchsorted(column, (start, start + _COLUMNS))
+        has = np.zeros((len(sizes), _COLUMNS), np.float32)
+        has[row[a:b], column[a:b] - start] = 1
+        both += has[: len(one)] @ has[len(one) :].T
+    return both / np.maximum(sizes[: len(one), None] + sizes[None, len(one) :] - both, 1)
+
+
+def joining(roots_one: np.ndarray, roots_two: np.ndarray, near: np.ndarray) -> list[tuple]:
+    """Pairs of roots, without cycles, that join all that the near texts of two sides join."""
+    names, code = np.unique(np.concatenate((roots_one, roots_two)), return_inverse=True)
+    i, j = np.nonzero(near)
+    a, b = code[i], code[len(roots_one) + j]
+    pairs = np.unique(np.minimum(a, b)[a != b] * len(names) + np.maximum(a, b)[a != b])
+    root, out = list(range(len(names))), []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for pair in pairs.tolist():
+        x, y = find(pair // len(names)), find(pair % len(names))
+        if x != y:
+            root[y] = x
+            out.append((names[pair // len(names)], names[pair % len(names)]))
+    return out
+
+
 def _key(text: str) -> Column:
     return F.md5(F.coalesce(F.col(text), F.lit("")))
 
@@ -171,7 +217,7 @@ def _bags(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         return packed(column)
 
     texts = docs.select(_key("text").alias("key"), "text").join(wanted, "key", "left_semi").dropDuplicates(["key"])
-    return texts.select("key", bag("text").alias("bag"))
+    return texts.select("key", bag("text").alias("bag")).withColumn("size", F.octet_length("bag"))
 
 
 def links(pairs: DataFrame, found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -192,37 +238,53 @@ def _merged(rows: DataFrame, step: DataFrame) -> DataFrame:
     return rows.join(step, "root", "left").withColumn("root", F.coalesce("_to", "root")).drop("_to")
 
 
-def _open(members: DataFrame, leaders: int) -> DataFrame:
-    """The members (key, band, hash, root, n) of the buckets that hold texts of two classes or more and texts that haven't
-    led yet. Least and greatest roots are combined before the shuffle."""
-    left = members.groupBy("band", "hash").agg(F.min("root").alias("a"), F.max("root").alias("z"), F.count("*").alias("n"))
-    return members.join(left.where((F.col("a") != F.col("z")) & (F.col("n") > leaders)).drop("a", "z"), ["band", "hash"])
-
-
-def roots(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """key, root: the class of each text. In rounds, leaders of buckets are compared with the members of other classes;
-    links merge classes at once, so that few pairs of a large group are ever made. It ends when each bucket is of one
-    class or all its texts have led, that is, when each pair of a bucket has been compared or needn't be."""
+def _blocks(members: DataFrame, sizes: DataFrame, texts: int) -> DataFrame:
+    """band, hash, one, two, side, key, root: the sides of blocks, one <= two, of each bucket that holds three texts or
+    more and two classes or more. Its largest class is dealt to the first chunks, which don't meet each other; the rest
+    to further chunks, which meet all. Classes are counted before the shuffle, and no bucket is gathered."""
+    of = ["band", "hash"]
+    members = members.join(sizes, "key")
+    counted = members.groupBy(*of, "root").agg(F.count("*").alias("c"), F.sum("size").alias("s"))
+    largest = F.max(F.struct("c", "s", "root"))
+    bucket = counted.groupBy(*of).agg(F.sum("c").alias("n"), F.count("*").alias("roots"), F.sum("s").alias("all"), largest.alias("l"))
+    chunks = lambda n, size: F.ceil(F.greatest(n / float(texts), size / float(BLOCK_BYTES))).cast("long")
+    bucket = bucket.where("n > 2 AND roots > 1").select(
+        *of, F.col("l.root").alias("top"), chunks(F.col("l.c"), F.col("l.s")).alias("first"), chunks(F.col("n") - F.col("l.c"), F.col("all") - F.col("l.s")).alias("rest")
+    )
+    place = F.xxhash64("key", "band")
+    dealt = members.drop("size").join(bucket, of).withColumn("rest_of", F.col("root") != F.col("top"))
+    dealt = dealt.withColumn("own", F.when(F.col("rest_of"), F.col("first") + F.pmod(place, "rest")).otherwise(F.pmod(place, "first")))
+    met = F.sequence(F.when(F.col("rest_of"), F.lit(0)).otherwise(F.col("first")), F.col("first") + F.col("rest") - 1)
+    dealt = dealt.select("key", "root", *of, "own", F.explode(met).alias("other"))
+    return dealt.select("key", "root", *of, F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), (F.col("own") > F.col("other")).alias("side"))
+
+
+def _joined(blocks: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
+    """root_one, root_two: classes that the texts of a block join."""
+
+    def compare(block: pa.Table) -> pa.Table:
+        side, root, bag = (block.column(c).to_numpy(zero_copy_only=False) for c in ("side", "root", "bag"))
+        a = np.flatnonzero(~side.astype(bool))
+        b = np.flatnonzero(side) if block.column("one")[0].as_py() != block.column("two")[0].as_py() else a
+        near = overlaps([bag[i] for i in a], [bag[i] for i in b]) >= threshold
+        out = joining(root[a], root[b], near)
+        return pa.table({"root_one": pa.array([x for x, _ in out], pa.string()), "root_two": pa.array([y for _, y in out], pa.string())})
+
+    rows = blocks.join(found.select("key", "bag"), "key").drop("key")
+    return rows.groupBy("band", "hash", "one", "two").applyInArrow(compare, "root_one string, root_two string")
+
+
+def roots(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, block_texts: int = BLOCK_TEXTS) -> DataFrame:
+    """key, root: the class of each text. Links with the leaders of buckets make classes; then the blocks of the buckets
+    of several classes join what no leader did."""
     pairs = written(_candidates(nodes), "pairs")
-    # Whoever shares a bucket is in one of these pairs, so no later round needs a text.
+    # Whoever shares a bucket is in one of these pairs, so the blocks need no text.
     found = written(_bags(docs, pairs), "bags")
     step = written(components(links(pairs, found, threshold), "one", "two"), "step")
     named = written(_merged(nodes.select("key", F.col("key").alias("root")), step), "roots")
-    members = written(_open(_members(nodes).join(named, "key"), 0), "open")
-    before, leaders = 0, FIRST_LEADERS
-    # A text leads a bucket of n once its place in [0, 1), which differs by band, is below leaders / n.
-    place = F.pmod(F.xxhash64("key", "band"), F.lit(1 << 40)) / float(1 << 40)
-    while not members.isEmpty():
-        waiting = members.withColumn("_at", place * F.col("n")).where(F.col("_at") >= before)
-        lead = waiting.where(F.col("_at") < leaders).select("band", "hash", F.col("key").alias("k"), F.col("root").alias("r"))
-        met = waiting.join(lead, ["band", "hash"]).where("root <> r")
-        ordered = lambda a, b: F.when(F.col("key") > F.col("k"), F.col(a)).otherwise(F.col(b))
-        met = met.select(ordered("key", "k").alias("one"), ordered("k", "key").alias("two"), ordered("root", "r").alias("root_one"), ordered("r", "root").alias("root_two"))
-        step = written(components(links(written(met.distinct(), "pairs"), found, threshold), "root_one", "root_two"), "step")
-        named = written(_merged(named, step), "roots")
-        members = written(_open(_merged(members.drop("n"), step), leaders), "open")
-        before, leaders = leaders, leaders * 4
-    return named
+    blocks = _blocks(_members(nodes).join(named, "key"), found.select("key", "size"), block_texts)
+    joined = written(_joined(blocks, found, threshold).distinct(), "joined")
+    return _merged(named, written(components(joined, "root_one", "root_two"), "step"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:

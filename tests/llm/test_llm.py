@@ -243,7 +243,6 @@ def test_no_link_of_a_bucket_is_lost(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     # All in one bucket, as in a large group of near copies.
     nodes = docs.select(bagminhash._key("text").alias("key"), F.array(F.lit(7).cast("long")).alias("bands"))
-    got = {r["key"]: r["root"] for r in bagminhash.roots(docs, nodes, 0.88).collect()}
     keys = [hashlib.md5(t.encode()).hexdigest() for t in texts]
     packs = bagminhash.packed(pa.array(texts, pa.large_string())).to_pylist()
     root = {k: k for k in keys}
@@ -252,5 +251,19 @@ def test_no_link_of_a_bucket_is_lost(spark):
         if bagminhash.overlap(packs[i], packs[j]) >= 0.88:
             x, y = sorted((find(keys[i]), find(keys[j])))
             root[y] = x
-    one, two = ({frozenset(k for k in keys if of[k] == r) for r in of.values()} for of in (got, {k: find(k) for k in keys}))
-    assert one == two and 1 < len(one) < len(texts)
+    for block_texts in (8, 512):
+        got = {r["key"]: r["root"] for r in bagminhash.roots(docs, nodes, 0.88, block_texts).collect()}
+        one, two = ({frozenset(k for k in keys if of[k] == r) for r in of.values()} for of in (got, {k: find(k) for k in keys}))
+        assert one == two and 1 < len(one) < len(texts)
+
+
+def test_overlaps_of_blocks_are_those_of_pairs():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 2 + n % 5, rng.integers(0, 60))) for n in range(40)] + [LONG, LONG + " more", ""]
+    packs = bagminhash.packed(pa.array(texts, pa.large_string())).to_pylist()
+    got = bagminhash.overlaps(packs[:20], packs[20:] + packs[:3])
+    want = [[bagminhash.overlap(a, b) for b in packs[20:] + packs[:3]] for a in packs[:20]]
+    assert (got == np.array(want)).all() and bagminhash.overlaps(packs[40:41], packs[41:42])[0, 0] > 0.99
+    bags = [Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4) if w else 0)) for w in (t.split() for t in texts[:40])]
+    for (a, x), (b, y) in combinations(zip(bags, packs[:40], strict=True), 2):
+        assert bagminhash.overlap(x, y) == (sum((a & b).values()) / sum((a | b).values()) if a | b else 0)
