@@ -40,6 +40,8 @@ BLOCK_TEXTS, BLOCK_BYTES = 512, 4 << 20
 _COLUMNS = 4096
 #: Points made at once in a round of the signature's processes.
 _POINTS = 200_000
+#: Units of time in the mean gap of a process of rate one.
+_UNIT = 2.0**44
 
 
 def shingles(array: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -79,8 +81,9 @@ def bags(array: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, n
 
 
 def signatures(doc: np.ndarray, keys: np.ndarray, weights: np.ndarray, n: int, size: int = BANDS * ROWS) -> np.ndarray:
-    """n x size values; inf for a text without shingles."""
-    out = np.full(n * size, np.inf)
+    """n x size values; the greatest integer for a text without shingles. Times are whole numbers, so that their sums are
+    equal whatever else is in the batch."""
+    out = np.full(n * size, np.iinfo(np.int64).max)
     # A process for each interval that the weight reaches.
     levels = 1 + np.ceil(np.log2(np.maximum(weights, 1))).astype(np.int64)
     which = np.repeat(np.arange(len(keys)), levels)
@@ -90,7 +93,7 @@ def signatures(doc: np.ndarray, keys: np.ndarray, weights: np.ndarray, n: int, s
     p_doc, p_weight = doc[which], weights[which]
     with np.errstate(over="ignore"):
         seed = bo.mix(keys[which] + level.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-        time, made = np.zeros(len(which)), 0
+        time, made = np.zeros(len(which), np.int64), 0
         live = np.arange(len(which))
         while len(live):
             each = int(np.clip(_POINTS // len(live), 1, 64))
@@ -99,7 +102,7 @@ def signatures(doc: np.ndarray, keys: np.ndarray, weights: np.ndarray, n: int, s
             one = bo.mix(seed[live, None] + step)
             two = bo.mix(one ^ np.uint64(0xA0761D6478BD642F))
             gap = -np.log(((one >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / width[live, None]
-            times = time[live, None] + np.cumsum(gap, axis=1)
+            times = time[live, None] + np.cumsum(np.rint(gap * _UNIT).astype(np.int64), axis=1)
             part = ((two >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)
             place = low[live, None] + (two & np.uint64(0xFFFFFFFF)).astype(np.float64) / 2.0**32 * width[live, None]
             ok = place < p_weight[live, None]

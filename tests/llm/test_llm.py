@@ -231,6 +231,14 @@ def test_texts_of_one_to_four_words_are_one_shingle():
     assert bounds.tolist() == [0, 1, 2, 2, 4] and keys[0] == keys[1]
 
 
+def test_signatures_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 300, rng.integers(1, 14))) for _ in range(3000)]
+    all_at_once = bagminhash.bands(pa.array(texts, pa.large_string())).to_pylist()
+    for at in range(0, 3000, 50):
+        assert bagminhash.bands(pa.array(texts[at : at + 1], pa.large_string())).to_pylist() == all_at_once[at : at + 1]
+
+
 def test_no_link_of_a_bucket_is_lost(spark):
     rng = np.random.default_rng(9)
     base = [f"w{i}" for i in range(120)]
