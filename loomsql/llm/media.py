@@ -9,7 +9,11 @@ headers, and decodes all frames of a batch in step: each numpy operation moves e
 decoded too, and blocks that have any go through the inverse cosine transform.
 
 Shots: the 16-bin histogram of a frame's samples is compared with that of the frame before; a cut stands where the
-difference exceeds the mean of the WINDOW differences before it by SPREAD standard deviations and by LEAST.
+difference exceeds the usual one of the WINDOW differences before it, and of those after it, by SPREAD standard
+deviations and by LEAST. The usual one and the deviation are taken from the lower half of these differences, which other
+cuts don't raise, so shots may be short: two frames on end, or a few of one frame. Differences that stay alike, however
+large, are motion and not cuts. A side that the file's start or end leaves with less than half of WINDOW differences
+doesn't count; where neither side counts both are taken together, and of under two differences LEAST alone decides.
 
 Defined results: a null text is stored as an empty one; the payload is padded with spaces to a positive multiple of 192
 bytes; equal texts give equal media; null media decode to no frames; an empty table gives no rows.
@@ -33,7 +37,7 @@ from .subword import _ranges
 
 BLOCKS_X, BLOCKS_Y, FPS = 16, 12, 25
 FRAME_BYTES = BLOCKS_X * BLOCKS_Y
-WINDOW, SPREAD, LEAST = 8, 3.0, 0.1
+WINDOW, SPREAD, LEAST, HALF = 8, 3.0, 0.1, 0.6
 
 #: Code lengths and symbols of the usual luminance DC table of JPEG.
 DC_COUNTS = [0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0]
@@ -276,6 +280,18 @@ def decode_frames(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np
     return np.rint(samples.mean(axis=(2, 3))).astype(np.uint8)
 
 
+def _bar(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a difference has to exceed, by the quiet half of those near it, and their number. near: a row for each, inf
+    where there is none. The sd of the lower half of a normal sample is HALF of the whole one's."""
+    near, number = np.sort(near, axis=1), np.isfinite(near).sum(axis=1)
+    half = (number + 1) // 2
+    quiet = np.arange(near.shape[1]) < half[:, None]
+    low, some = np.where(quiet, near, 0), np.maximum(half, 1)
+    mean = low.sum(axis=1) / some
+    spread = np.sqrt((np.where(quiet, low - mean[:, None], 0) ** 2).sum(axis=1) / some) / HALF
+    return low.max(axis=1) + np.maximum(SPREAD * spread, LEAST), number
+
+
 def shots(samples: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """For each frame whether a shot begins with it. bounds: of each file's frames."""
     n = len(samples)
@@ -284,15 +300,15 @@ def shots(samples: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     far[1:] = np.abs(np.diff(count, axis=0)).sum(axis=1) / (2 * max(samples.shape[1], 1))
     opening = np.zeros(n, bool)
     opening[bounds[:-1][np.diff(bounds) > 0]] = True
-    # Differences exist from a file's second frame on; the window holds those before a frame.
-    low = np.maximum(np.repeat(bounds[:-1], np.diff(bounds)) + 1, np.arange(n) - WINDOW)
-    size = np.arange(n) - low
-    one, two = (np.concatenate(([0], np.cumsum(far**p))) for p in (1, 2))
-    some = np.maximum(size, 1)
-    low = np.minimum(low, np.arange(n))
-    mean = (one[np.arange(n)] - one[low]) / some
-    spread = np.sqrt(np.maximum((two[np.arange(n)] - two[low]) / some - mean**2, 0))
-    return opening | ((size > 1) & (far > mean + SPREAD * spread) & (far > mean + LEAST))
+    # Differences exist from a file's second frame on.
+    sizes = np.diff(bounds)
+    first, last = np.repeat(bounds[:-1] + 1, sizes)[:, None], np.repeat(bounds[1:], sizes)[:, None]
+    at = np.arange(n)[:, None] + np.concatenate((np.arange(-WINDOW, 0), np.arange(1, WINDOW + 1)))
+    near = np.where((at >= first) & (at < last), far[np.clip(at, 0, n - 1)], np.inf)
+    (before, n_before), (after, n_after), (both, n_both) = _bar(near[:, :WINDOW]), _bar(near[:, WINDOW:]), _bar(near)
+    sides = np.maximum(np.where(n_before >= WINDOW // 2, before, 0), np.where(n_after >= WINDOW // 2, after, 0))
+    bar = np.where(sides > 0, sides, np.where(n_both > 1, both, LEAST))
+    return opening | (far > bar)
 
 
 def payloads(array: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:

@@ -65,6 +65,25 @@ def test_media_decodes_any_bytes_and_cuts_shots(spark):
     assert rows[0]["start_s"] == 0 and rows[1]["first_frame"] == 12 and rows[-1]["end_s"] == pytest.approx(22 / media.FPS)
 
 
+@pytest.mark.parametrize("cuts", [[1], [2], [1, 2], [1, 2, 3], [5, 6], [22], [22, 23], *[list(range(k, 24, k)) for k in (2, 3, 4, 5, 8, 9)], *[list(range(k - 1, 24, k)) for k in (2, 3, 5, 8)]])
+def test_media_finds_each_cut_of_short_shots(cuts):
+    for strength in (1.0, 0.3):  # still frames, where a cut moves that share of the samples to a new bin
+        bins = np.cumsum(np.bincount(cuts, minlength=24))[:, None] % 2 * (np.arange(192) < 192 * strength)
+        still = (40 + 100 * bins).astype(np.uint8)
+        begins = media.shots(np.concatenate((still, still)), np.array([0, 24, 48]))
+        assert np.flatnonzero(begins).tolist() == [0, *cuts, 24, *[24 + c for c in cuts]]
+
+
+def test_media_takes_steady_motion_for_one_shot():
+    rng = np.random.default_rng(3)
+    still = np.full((30, 192), 40, np.uint8)
+    level = rng.integers(0, 256, (30, 192)).astype(np.uint8) * (np.arange(192) < 110) + np.uint8(40) * (np.arange(192) >= 110)
+    for samples in (level, np.concatenate((still, level)), np.concatenate((level, still))):
+        begins = np.flatnonzero(media.shots(samples.astype(np.uint8), np.array([0, len(samples)]))).tolist()
+        assert set(begins) <= {0, 30, 31}
+    assert np.flatnonzero(media.shots(np.repeat(np.array([[40], [90], [140]], np.uint8), [1, 1, 1], axis=0), np.array([0, 3]))).tolist() == [0, 1, 2]
+
+
 def test_html_blocks():
     page = "<html><head><title>x</title></head><body><nav>a<p>b</nav><div class='cookie notice'>c</div><article><h1>T &amp; u</h1><p>one<br>two <b>th</b>ree<p>four<div id=comments>d</div></article><footer>e"
     assert [t for t, a, m in htmltext.blocks(page) if a and not m] == ["T & u", "one two three", "four"]
