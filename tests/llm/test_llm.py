@@ -101,6 +101,17 @@ def test_html_boilerplate_is_found_across_groups(spark):
     assert htmltext.extract(pages.limit(0)).collect() == []
 
 
+def test_html_loose_text_of_pages_with_an_article(spark):
+    notice = "Every page of this host tells its readers about the same long notice"
+    body = [" ".join(f"w{i}x{k}" for k in range(20)) for i in range(4)]
+    rows = [(i, f"http://x.com/{i}", f"<div>{notice}</div><article><h1>T{i}</h1></article><div>{body[i]}</div><div>by A {i}</div><nav>nav {body[i][::-1]}</nav>") for i in range(4)]
+    rows += [(5, "http://x.com/5", "<article><div class=ad>Buy now</div></article><p>short but all there is"), (6, "http://x.com/6", f"<article>art</article><p>{notice}")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"T{i}\n\n{body[i]}" for i in range(4)} | {5: "short but all there is", 6: "art"}
+    for size in (2, 4096):
+        assert {r["page_id"]: r["text"] for r in htmltext.extract(pages, group_pages=size).collect()} == want
+
+
 def test_suffix_array_coverage_against_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(30):
