@@ -89,7 +89,7 @@ class EliasFano:
 
 
 class Trie:
-    """Contexts, and under each its successors with a quantised probability.
+    """Contexts, and under each its successors with a code (a count, or what stands for one).
 
     Level 1: the sorted contexts, with monotone pointers to their successors. Level 2: the successors as ranks in the
     sorted words of this shard, made ascending over all contexts by adding the context's number times the number of

@@ -6,15 +6,15 @@
    shares its hash with another.
 2. Each block counts its words and word pairs in training documents, and sends each to a shard by a hash of the n-gram,
    so a frequent word's pairs are dealt out too, and a pair is sent once per block however often it occurs.
-3. A shard adds the counts up, builds the trie of its pairs (quantised log probabilities in memory-mapped levels), and
+3. A shard adds the counts up, builds the trie of its pairs (their exact counts in memory-mapped levels), and
    looks up the pairs of each block by successor search in the context's range. Words are answered with exact counts.
 4. Blocks meet their answers and score their documents.
 
 All steps are linear in the tokens, nothing is broadcast but three numbers, and the model has no pruning and no cap.
 
 The probability of a word after the one before it (the end token stands before the first):
-(c(h, w) + MU * p(w)) / (c(h) + MU), p(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)). c(h, w) comes from the trie's quantised
-joint probability: exact for counts up to 127, above that in steps of 4 %.
+(c(h, w) + MU * p(w)) / (c(h) + MU), p(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)). All counts are exact, so
+no probability exceeds 1; they are smoothed at scoring, by word counts that no trie holds.
 
 Defined results: a null text is an empty one (one end token); a null id is an empty id for the fold; repeated rows are
 counted each; without training documents N = V = 0 and all words are unknown; extra columns play no part.
@@ -45,6 +45,7 @@ WORD, NEXT = 6, 5
 END = np.uint64(0x1F3D5B79A2C4)
 #: Parts into which a word's pairs are dealt: pairs of one word go to so many shards at most.
 SALTS = 8
+#: Steps of 4 % above 127. The trie holds exact counts; only the brute-force test's reference reads these.
 STEPS = np.concatenate((np.arange(128), np.round(127 * 1.04 ** np.arange(1, 640)))).astype(np.float64)
 
 BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.binary()), ("words", pa.binary()), ("tokens", pa.binary()), ("n_train", pa.int64())])
@@ -197,8 +198,9 @@ def _answers(table: pa.Table) -> pa.Table:
     (one, two), n = _summed((np.concatenate(firsts), np.concatenate(seconds)), np.concatenate(pair_counts))
     seen = n > 0
     with tempfile.TemporaryFile() as file:  # no name, and gone with the task
-        trie = Trie.build(one[seen], two[seen], _coded(n[seen]), file, (1 << 8 * WORD, 1 << 8 * NEXT))
-        codes = [_shrunk(trie.lookup(a, b)) for a, b in zip(firsts, seconds, strict=True)]
+        exact = n[seen].astype(np.min_scalar_type(int(n.max(initial=0))))
+        trie = Trie.build(one[seen], two[seen], exact, file, (1 << 8 * WORD, 1 << 8 * NEXT))
+        codes = [zlib.compress(_planes(trie.lookup(a, b), 8), 1) for a, b in zip(firsts, seconds, strict=True)]
         del trie
     counts = [zlib.compress(_planes(total[np.searchsorted(known, w)], 8), 1) for w in words]
     types = [int((total > 0).sum())] + [0] * (len(codes) - 1)
@@ -210,11 +212,11 @@ def _scored(blocks: pa.Table, answers: pa.Table, shards: int, tokens: int, types
     replies = answers.sort_by("shard")
     none = [np.zeros(0, np.int64)]
     counts = np.concatenate([_numbers(zlib.decompress(x), 8).astype(np.int64) for x in replies.column("counts").to_pylist()] or none)
-    codes = np.concatenate([_grown(x) for x in replies.column("codes").to_pylist()] or none)
+    found = np.concatenate([_numbers(zlib.decompress(x), 8).astype(np.int64) for x in replies.column("codes").to_pylist()] or none)
     for r in blocks.to_pylist():
         g = Grams(r["words"], r["tokens"], r["sizes"], r["held_out"], shards)
         c, pair = np.empty(len(g.words), np.int64), np.empty(len(g.pair_order))
-        c[g.word_order], pair[g.pair_order] = counts, STEPS[codes]
+        c[g.word_order], pair[g.pair_order] = counts, found
         p = (c + 0.1) / (tokens + 0.1 * (types + 1))
         both = (pair[g.pair] + mu * p[g.tokens]) / (c[g.before] + mu)
         bounds = np.concatenate(([0], np.cumsum(g.sizes)))

@@ -172,6 +172,15 @@ def test_lm_against_brute_force(spark, odd):
     assert lm.score_lm(odd.limit(0)).collect() == []
 
 
+def test_lm_counts_of_frequent_pairs_are_exact(spark):
+    docs = spark.range(1, 1191).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text"))
+    n = sum(zlib.crc32(str(i).encode()) % 10 > 0 for i in range(1, 1191))
+    p = (n + 0.1) / (3 * n + 0.4)  # of each of x, y and the end, which follow one another n times
+    want = 3 * math.log10((n + lm.MU * p) / (n + lm.MU))
+    for size in (700, 10**6):
+        assert {round(r["score"], 9) for r in lm.score_lm(docs, block_tokens=size, shard_tokens=size).collect()} == {round(want, 9)}
+
+
 def test_decontamination_against_brute_force(spark, documents, odd):
     items = [(1, " ".join(f"wörd{i}" for i in range(100, 115))), (2, "Same WORDS, here"), (3, None), (4, ""), (None, "other"), (12, "same words here")]
     for docs, bench in ((documents, spark.read.parquet(f"{DATA}/benchmark.parquet")), (odd, spark.createDataFrame(items, "item_id long, text string"))):
