@@ -11,8 +11,9 @@ The cells are few (values of source times languages times topics): up to MOST_CE
 broadcast; more are raked as DataFrames, a table written each round, and joined without a hint.
 
 Defined results: a null source or language is a value of its own; a null text is empty, and cells without tokens have
-weight 1; a target for a value that isn't there has no effect, values without a target get weight 0; the same id draws
-the same number in every row; an empty table gives no rows; extra columns stay.
+weight 1; a target for a value that isn't there has no effect, values without a target get weight 0, and where no value
+has one all have equal shares; targets that no cell can meet together leave weights of 0; the same id draws the same
+number in every row; an empty table gives no rows; extra columns stay.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ def rake(values: list[np.ndarray], tokens: np.ndarray, targets: list[np.ndarray]
             now = np.bincount(of, tokens * factor, len(target))
             there = now > 0
             goal = np.where(there, target, 0)
-            goal = goal / goal.sum() * tokens.sum()
+            goal = goal / (goal.sum() or 1.0) * tokens.sum()
             step = np.where(there, goal / np.where(there, now, 1), 1)
             worst = max(worst, float(np.abs(step[there] - 1).max(initial=0)))
             factor *= step[of]
@@ -90,13 +91,21 @@ def _rake_frames(cells: DataFrame, targets: dict, budget: float) -> DataFrame:
     state = written(cells.withColumn("weight", F.lit(1.0)), "cells")
     if not total:
         return state.withColumn("p", F.lit(1.0))
+    given = {}
+    for m in MARGINS:
+        if targets.get(m):  # a value of another type can't occur
+            pairs = [(v if v is None else int(v) if m == "topic" else v, float(t)) for v, t in targets[m].items() if v is None or isinstance(v, (int, np.integer) if m == "topic" else str)]
+            aims = cells.sparkSession.createDataFrame(pairs, f"_v {cells.schema[m].dataType.simpleString()}, _aim double")
+            there = state.select(m).distinct()
+            there = written(there.join(aims, there[m].eqNullSafe(aims["_v"]), "left").select(F.col(m).alias("_v"), F.coalesce("_aim", F.lit(0.0)).alias("_aim")), "targets")
+            # As in shares(): equal shares where no value has a target.
+            given[m] = there if there.agg(F.sum("_aim")).first()[0] else there.withColumn("_aim", F.lit(1.0))
     for _ in range(ROUNDS):
         worst = 0.0
         for m in MARGINS:
             sums = state.groupBy(m).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now"), F.sum("tokens").alias("own"))
-            if targets.get(m):
-                given = F.create_map(*[F.lit(x) for pair in targets[m].items() for x in pair])
-                goal = F.coalesce(F.element_at(given, F.col(m)), F.lit(0.0))
+            if m in given:
+                sums, goal = sums.join(given[m], sums[m].eqNullSafe(given[m]["_v"])), F.col("_aim")
             else:
                 goal = F.when(F.col("own") > 0, F.pow("own", F.lit(TEMPER[m]))).otherwise(0.0)
             sums = sums.withColumn("goal", F.when(F.col("now") > 0, goal).otherwise(0.0))

@@ -172,6 +172,23 @@ def test_lm_against_brute_force(spark, odd):
     assert lm.score_lm(odd.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("targets", [{"source": {"a": 0.7, None: 0.3, 5: 1.0}, "lang": {"zz": 1.0}}, {"source": {"c": 1.0}, "lang": {None: 1.0}}, {"source": {"e": 1.0}}])
+def test_mixing_gives_the_same_by_frames(spark, targets):
+    rows = [(i, "one two three" if s != "e" else "", s, g) for i, (s, g) in enumerate([(s, g) for s in ("a", "b", None, "e") for g in ("en", "de", None)] + [("c", "en")])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    one, two = ({r["doc_id"]: (r["mix"]["weight"], r["mix"]["p"], r["mix"]["kept"]) for r in mixing.mixture(docs, targets, most_cells=most).collect()} for most in (mixing.MOST_CELLS, 0))
+    assert len(one) == len(two) == len(rows)
+    for i in one:
+        assert one[i][:2] == pytest.approx(two[i][:2], abs=1e-6) and one[i][2] == two[i][2], rows[i]
+    if None in targets["source"]:
+        by = Counter()
+        for i, _, s, g in rows:
+            by["s", s] += one[i][0] * 3 * (s != "e")
+            by["l", g] += one[i][0] * 3 * (s != "e")
+        assert by["s", "a"] / sum(by["s", s] for s in ("a", "b", "c", None)) == pytest.approx(0.7) and by["s", "b"] == 0
+        assert by["l", "en"] == pytest.approx(by["l", None])
+
+
 def test_lm_counts_of_frequent_pairs_are_exact(spark):
     docs = spark.range(1, 1191).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text"))
     n = sum(zlib.crc32(str(i).encode()) % 10 > 0 for i in range(1, 1191))
