@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomsql.functions import keys
 from loomsql.functions import programs as P
-from loomsql.operators import dedup, splits
+from loomsql.operators import dedup, splits, validate
 from loomsql.plans import corpus, program
 from loomsql.sources.schemas import FAMILIES, columns_frame, edges_frame
 
@@ -251,9 +251,14 @@ def _lowered(text: str) -> str:
     return f"replace({text}, chr(10), '  ' || chr(10))"
 
 
-def _program_query(name: str, column, oracle: str | None):
+def _program_query(name: str, column, oracle: str | None, text=None):
+    """text: of the program, what the column's second argument has the parse errors of."""
+
     def run(spark, sf_dir):
-        return _programs(spark, sf_dir).select("n", column(F.col("program")).alias("value"))
+        rows = _programs(spark, sf_dir)
+        if text:
+            rows = validate.with_parse_errors(rows.withColumn("text", text(F.col("program"))), "text")
+        return rows.select("n", column(F.col("program"), *[F.col("parse_errors")] * bool(text)).alias("value"))
 
     run.__name__ = name
     query(oracle and f"SELECT n_nationkey AS n, {oracle} AS value FROM nation")(run)
@@ -273,11 +278,20 @@ _program_query("logic_errors", lambda p: F.array_join(P.logic_errors(P.invalid_j
 _program_query("from_tables", lambda p: F.array_join(P.from_tables(p), ","), "'warehouses,shipments'")
 _program_query(
     "validation_report",
-    lambda p: F.to_json(P.validation_report(P.unknown_column(P.missing_group_by(p)), F.array().cast("array<string>"), FAMILIES)),
+    lambda p, e: F.to_json(P.validation_report(P.unknown_column(P.missing_group_by(p)), e, FAMILIES)),
     """'{"is_valid":false,"stage_results":{"parse":true,"resolve":false,"logic":false},"errors":{"resolve":["Unknown column: t1.unknown_column"],"logic":["Aggregate without GROUP BY"]}}'""",
+    lambda p: P.render(P.unknown_column(P.missing_group_by(p))),
 )
 for _o, (_, _stage, _) in P.CORRUPTIONS.items():
-    _program_query(f"failure_stage_{_o}", lambda p, o=_o: P.failure_stage(F.lit(o != "missing_comma"), P.corrupted(p, o, F.lit("logistics")), FAMILIES), f"'{_stage}'")
+    _program_query(f"failure_stage_{_o}", lambda p, e, o=_o: P.failure_stage(F.size(e) == 0, P.corrupted(p, o, F.lit("logistics")), FAMILIES), f"'{_stage}'", lambda p, o=_o: P.corrupted_sql(p, o, F.lit("logistics")))
+
+
+@query(f"SELECT n_nationkey AS n, kind, json_serialize_sql(sql)->>'error' = 'false' AS parses FROM (SELECT n_nationkey, unnest(['clean', 'missing_comma', 'lower case', 'no columns']) AS kind, unnest([{_text()}, {_text('t1.region AS region SUM(t2.shipping_cost) AS sum_shipping_cost')}, {_lowered(_text())}, 'SELECT FROM']) AS sql FROM nation)")
+def parse_validity(spark, sf_dir):
+    p = F.col("program")
+    kinds = {"clean": P.render(p), "missing_comma": P.corrupted_sql(p, "missing_comma", F.lit("logistics")), "lower case": P.noncanonical(p), "no columns": F.lit("SELECT FROM")}
+    texts = _programs(spark, sf_dir).select("n", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), t.alias("text")) for k, t in kinds.items()])))
+    return validate.with_parse_errors(texts, "text").select("n", "kind", (F.size("parse_errors") == 0).alias("parses"))
 
 
 @query("SELECT * FROM (VALUES " + ", ".join(f"('{s.schema_id}', {i}::BIGINT, '{e[0]}', '{e[1]}', '{e[2]}', '{e[3]}')" for s in FAMILIES for i, e in enumerate(s.join_graph)) + ") v(schema_id, position, left_table, left_column, right_table, right_column)")

@@ -2,27 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 _RESERVED = "spark.sql.ansi.enforceReservedKeywords"
 
 
-def parse_sql(spark: SparkSession, sql: str) -> tuple[bool, str]:
-    """(valid, error). Reserved words are enforced meanwhile, so that SELECT FROM is no query."""
-    if not (sql or "").strip():
-        return False, "SQL is blank"
-    before = spark.conf.get(_RESERVED)
+def parse_all(spark: SparkSession, texts: list[str | None]) -> list[str]:
+    """The error of each text, empty for one that parses. Reserved words are enforced meanwhile, so that SELECT FROM is no
+    query."""
+    parser, before, out = spark._jsparkSession.sessionState().sqlParser(), spark.conf.get(_RESERVED), []
     spark.conf.set(_RESERVED, "true")
     try:
-        spark.sql(sql)
-    except ParseException as e:
-        return False, str(e).split("\n")[0]
-    except AnalysisException:
-        pass  # parsed; names are resolved elsewhere
+        for sql in texts:
+            error = "" if (sql or "").strip() else "SQL is blank"
+            try:
+                _ = error or parser.parsePlan(sql)  # names are resolved elsewhere
+            except ParseException as e:
+                error = str(e).strip().split("\n")[0]
+            out.append(error)
     finally:
         spark.conf.set(_RESERVED, before)
-    return True, ""
+    return out
+
+
+def parse_sql(spark: SparkSession, sql: str) -> tuple[bool, str]:
+    """(valid, error)."""
+    error = parse_all(spark, [sql])[0]
+    return not error, error
+
+
+def with_parse_errors(rows: DataFrame, text: str, name: str = "parse_errors") -> DataFrame:
+    """The rows with an array of what the parser says of a text, empty for one that parses. Distinct texts go to the
+    driver, so there have to be few of them."""
+    texts = [r[0] for r in rows.select(text).distinct().collect()]
+    said = rows.sparkSession.createDataFrame([(t, [e] if e else []) for t, e in zip(texts, parse_all(rows.sparkSession, texts), strict=True)], f"_text string, {name} array<string>")
+    return rows.join(said, rows[text].eqNullSafe(said["_text"])).drop("_text")
 
 
 def execute(spark: SparkSession, sql: str) -> DataFrame:

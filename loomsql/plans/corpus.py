@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomsql.functions import keys
 from loomsql.functions import programs as P
-from loomsql.operators import dedup, splits
+from loomsql.operators import dedup, splits, validate
 from loomsql.plans import program
 from loomsql.sources import export, schemas
 
@@ -91,10 +91,15 @@ def build(spark: SparkSession, config: dict, families: list[schemas.Schema] | No
     made = program.attempts(spark, families, g["complexities"], g["templates"], int(g.get("seed_start", 0)), int(g.get("max_attempts", target * 20)))
     p, family = F.col("program"), F.col("schema_family")
     valid = (F.size(P.resolve_errors(p, families)) == 0) & (F.size(P.logic_errors(p, families)) == 0)
-    stages = {o: P.applies(p, o) & (P.failure_stage(F.lit(o != "missing_comma"), P.corrupted(p, o, family), families) == P.CORRUPTIONS[o][1]) for o in operators}
-    eligible = F.array_compact(F.array(*[F.when(ok, o) for o, ok in stages.items()]))
+    # The clean text (operator null) and each corrupted one; whether it is as it should be if it parses, and if it doesn't.
+    texts = [F.struct(F.lit(None).cast("string").alias("operator"), P.render(p).alias("text"), valid.alias("parsed"), F.lit(False).alias("unparsed"))]
+    for o in operators:
+        ends = [F.coalesce(P.applies(p, o) & (P.failure_stage(F.lit(ok), P.corrupted(p, o, family), families) == P.CORRUPTIONS[o][1]), F.lit(False)) for ok in (True, False)]
+        texts.append(F.struct(F.lit(o).alias("operator"), P.corrupted_sql(p, o, family).alias("text"), ends[0].alias("parsed"), ends[1].alias("unparsed")))
+    tried = validate.with_parse_errors(made.select("attempt", F.inline(F.array(*texts))).where("operator IS NULL OR parsed OR unparsed"), "text")
+    good = F.when(F.size("parse_errors") == 0, F.col("parsed")).otherwise(F.col("unparsed"))
     # At most max_attempts small tuples, a setting of the config: scheduling is a fold over them and needs no more.
-    found = made.select("attempt", valid.alias("valid"), eligible.alias("eligible")).orderBy("attempt").collect()
+    found = tried.groupBy("attempt").agg(F.bool_or(F.col("operator").isNull() & good).alias("valid"), F.collect_list(F.when(good, F.col("operator"))).alias("eligible")).orderBy("attempt").collect()
     plan = schedule([tuple(r) for r in found], operators, g["task_targets"], candidates)
     decided = made.join(spark.createDataFrame(plan, "attempt long, task_kind string, number int, operator string"), "attempt")
     records = rows(decided).persist()

@@ -104,6 +104,21 @@ def test_validation_report_runs_all_stages(spark):
     assert not bad["is_valid"] and set(bad["errors"]) == {"parse", "resolve", "logic"} and not any(bad["stage_results"])
 
 
+def test_parse_results_decide(spark, monkeypatch):
+    config = corpus.RELEASE | {"generation": corpus.RELEASE["generation"] | {"target_total_rows": 6, "max_attempts": 60}}
+    seen = []
+    real = corpus.validate.parse_all
+    monkeypatch.setattr(corpus.validate, "parse_all", lambda spark, texts: (seen.extend(texts), real(spark, texts))[1])
+    rows = corpus.build(spark, config, FAMILIES)[0].collect()
+    said = dict(zip(seen, real(spark, seen), strict=True))
+    assert rows and all(bool(said[r["source_sql"]]) == (r["corruption_recipe_id"] == "missing_comma") for r in rows if r["task"] != "canonicalization")
+    monkeypatch.setattr(corpus.validate, "parse_all", lambda spark, texts: ["no"] * len(texts))
+    with pytest.raises(ValueError):
+        corpus.build(spark, config, FAMILIES)
+    stages = catalogue.queries()["failure_stage_unknown_column"](spark, DATA).collect()
+    assert {r["value"] for r in stages} == {"parse"}
+
+
 def test_release(spark, tmp_path):
     paths = corpus.build_release(spark, corpus.RELEASE, tmp_path, FAMILIES)
     manifest = json.loads((tmp_path / "manifest.json").read_text())
