@@ -40,7 +40,7 @@ STAGES = [
     ("mixing", mix),
 ]
 
-#: Trained models and signatures have no SQL form; tests/llm compares the stages' operators with brute-force versions.
+#: Trained models and signatures have no SQL form; tests/llm recomputes which rows each stage keeps of its own input.
 ORACLE_SQL = None
 
 

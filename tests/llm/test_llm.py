@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loomsql.llm import bagminhash, chat, decontaminate, htmltext, lm, media, mixing, quality, queries, toxicity, urlfilter
+from loomsql.llm import bagminhash, chat, decontaminate, htmltext, lm, media, mixing, quality, queries, scratch, toxicity, urlfilter
 
 DATA = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -331,3 +331,40 @@ def test_overlaps_of_blocks_are_those_of_pairs():
     bags = [Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4) if w else 0)) for w in (t.split() for t in texts[:40])]
     for (a, x), (b, y) in combinations(zip(bags, packs[:40], strict=True), 2):
         assert bagminhash.overlap(x, y) == (sum((a & b).values()) / sum((a | b).values()) if a | b else 0)
+
+
+def test_pipeline_stages_keep_the_right_rows(spark):
+    import corpus_pipeline
+
+    labels, bench = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("labels", "benchmark"))
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs.collect()
+        out = scratch.written(stage(spark, docs, DATA), f"test-{name}")
+        assert out.columns[: len(docs.columns)] == docs.columns
+        if name in ("toxicity", "quality"):
+            kind, score, keeps = (toxicity, toxicity.score_toxicity, lambda s: s < 0.5) if name == "toxicity" else (quality, quality.score_quality, lambda s: s >= 0.5)
+            scores = {r["doc_id"]: r["score"] for r in score(docs, kind.fit(docs, labels)).collect()}
+            want = [r["doc_id"] for r in before if keeps(scores[r["doc_id"]])]
+        elif name == "near_dedup":
+            words = {r["doc_id"]: WORD.findall(lower(r["text"])) for r in before}
+            bags = {i: Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4) if w else 0)) for i, w in words.items()}
+            of = {i: i for i in bags}
+            for i, j in combinations(sorted(bags), 2):
+                if bags[i] == bags[j] or sum((bags[i] & bags[j]).values()) >= 0.8 * sum((bags[i] | bags[j]).values()):
+                    x, y = sorted((of[i], of[j]))
+                    of = {k: x if c == y else c for k, c in of.items()} if x != y else of
+            want = sorted(set(of.values()))
+        elif name == "decontamination":
+            named = [w for r in bench.collect() if (w := WORD.findall(lower(r["text"])))]
+            windows = {tuple(w[i : i + decontaminate.WINDOW]) for w in named for i in range(max(1, len(w) - decontaminate.WINDOW + 1))}
+            lengths = {len(w) for w in windows}
+            words = {r["doc_id"]: WORD.findall(lower(r["text"])) for r in before}
+            want = [i for i, w in words.items() if not any(tuple(w[k : k + n]) in windows for n in lengths for k in range(len(w) - n + 1))]
+        else:
+            want = [r["doc_id"] for r in mixing.mixture(docs).select("doc_id", "mix.p", mixing.draw("doc_id").alias("u")).collect() if r["u"] < r["p"]]
+        kept[name] = sorted(r["doc_id"] for r in out.collect())
+        assert kept[name] == sorted(want) and 0 < len(want) <= len(before), name
+        docs = out
+    assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, DATA).collect()) == kept["mixing"]
