@@ -60,6 +60,38 @@ def test_corruptions_fail_where_intended(spark):
     assert parse_sql(spark, sql(spark, p))[0] and not parse_sql(spark, "SELECT FROM")[0] and not parse_sql(spark, " ")[0]
 
 
+def test_program_functions_on_generated_programs_of_all_shapes(spark):
+    made = [(f, program.generate(BY_NAME[f.schema_family], template_id="t", complexity=c, seed=i)) for f in FAMILIES for c in program.COMPLEXITIES for i in range(12)]
+
+    def text(p, items=None, group=True):
+        items = items or ", ".join(f"{i['expression']} AS {i['alias']}" for i in p["select_items"])
+        both = lambda x: " AND ".join(e["expression"] for e in x)
+        lines = [f"SELECT {items}", f"FROM {p['base_table']['name']} AS {p['base_table']['alias']}"]
+        lines += [f"{j['join_type']} {j['right_table']['name']} AS {j['right_table']['alias']} ON {j['on_expression']}" for j in p["joins"]]
+        lines += ["WHERE " + both(p["where_predicates"])] * bool(p["where_predicates"]) + ["GROUP BY " + ", ".join(p["group_by"])] * bool(p["group_by"] and group)
+        lines += ["HAVING " + both(p["having"])] * bool(p["having"]) + ["ORDER BY " + ", ".join(f"{o['expression']} {o['direction']}" for o in p["order_by"])] * bool(p["order_by"])
+        return "\n".join(lines + [f"LIMIT {p['limit']}"] * (p["limit"] is not None))
+
+    rows = program.frame(spark, [p for _, p in made])
+    p, none = F.col("program"), F.lit("logistics")
+    values = {
+        "sql": P.render(p), "label": P.complexity(p), "tables": P.from_tables(p), "resolve": P.resolve_errors(p, FAMILIES), "logic": P.logic_errors(p, FAMILIES),
+        "comma": P.corrupted_sql(p, "missing_comma", none), "column": P.corrupted_sql(p, "unknown_column", none), "group": P.corrupted_sql(p, "missing_group_by", none),
+        "unknown": P.resolve_errors(P.unknown_column(p), FAMILIES), "ungrouped": P.logic_errors(P.missing_group_by(p), FAMILIES),
+    }
+    shapes = set()
+    for (_, q), r in zip(made, rows.orderBy("n").select(*[v.alias(k) for k, v in values.items()]).collect(), strict=True):
+        aggregate, (one, two) = any(i["is_aggregate"] for i in q["select_items"]), [f"{i['expression']} AS {i['alias']}" for i in q["select_items"]]
+        shapes.add((len(q["joins"]), bool(q["group_by"]), bool(q["having"])))
+        assert r["sql"] == text(q) and r["group"] == text(q, group=False) and r["comma"] == text(q, f"{one} {two}")
+        assert r["column"] == text(q, f"{one.split('.')[0]}.unknown_column AS {one.split(' AS ')[1]}, {two}")
+        assert r["label"] == ("hard" if len(q["joins"]) > 1 or q["having"] else "medium" if q["joins"] or q["group_by"] or aggregate else "easy")
+        assert r["tables"] == [q["base_table"]["name"], *[j["right_table"]["name"] for j in q["joins"]]]
+        assert r["resolve"] == r["logic"] == [] and r["unknown"] == ["Unknown column: t1.unknown_column"]
+        assert r["ungrouped"] == ["Aggregate without GROUP BY"] * aggregate
+    assert {n for n, _, _ in shapes} == {0, 1, 2} and {g for _, g, _ in shapes} == {True, False}
+
+
 def test_normalization(spark):
     p = program.generate(BY_NAME["retail_sales"], template_id="baseline_summary", complexity="medium", seed=1)
     canonical, loose = sql(spark, p, lambda c: P.render(P.canonical(c))), sql(spark, p, P.noncanonical)
