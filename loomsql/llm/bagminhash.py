@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import bytesops as bo
 from .components import components
-from .scratch import written
+from .scratch import dropped, fresh, written
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 20, 5, 0.8
 #: Texts and bytes of bags in a side of a block, on average: bounds of what a task holds, not of what is compared.
@@ -211,15 +211,23 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     return found.select(F.greatest("key", "leader").alias("one"), F.least("key", "leader").alias("two")).distinct()
 
 
-def _bags(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """key, bag of the texts that occur in pairs."""
+def _place() -> Column:
+    """Of a row with a key and a doc_id, what tells copies of one text apart; null ids too."""
+    return F.xxhash64("key", "doc_id", F.col("doc_id").isNull()).alias("place")
+
+
+def _bags(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """key, bag, size of the texts that occur in pairs. Of each text the rows of the one id that its node has are joined,
+    so copies of one text don't meet in one task."""
     wanted = pairs.select(F.col("one").alias("key")).union(pairs.select("two")).distinct()
+    wanted = nodes.join(wanted, "key", "left_semi").select("key", _place())
 
     @F.arrow_udf("binary")
     def bag(column: pa.Array) -> pa.Array:
         return packed(column)
 
-    texts = docs.select(_key("text").alias("key"), "text").join(wanted, "key", "left_semi").dropDuplicates(["key"])
+    rows = docs.select("doc_id", "text", _key("text").alias("key")).select("key", _place(), "text")
+    texts = rows.join(wanted, ["key", "place"], "left_semi").dropDuplicates(["key", "place"])
     return texts.select("key", bag("text").alias("bag")).withColumn("size", F.octet_length("bag"))
 
 
@@ -237,8 +245,8 @@ def links(pairs: DataFrame, found: DataFrame, threshold: float = THRESHOLD) -> D
 
 def _merged(rows: DataFrame, step: DataFrame) -> DataFrame:
     """The rows with the root of each root; a root that step doesn't have stays."""
-    step = step.select(F.col("node").alias("root"), F.col("root").alias("_to"))
-    return rows.join(step, "root", "left").withColumn("root", F.coalesce("_to", "root")).drop("_to")
+    step = step.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return rows.join(step, "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to")
 
 
 def _blocks(members: DataFrame, sizes: DataFrame, texts: int) -> DataFrame:
@@ -282,11 +290,13 @@ def roots(docs: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD, block
     of several classes join what no leader did."""
     pairs = written(_candidates(nodes), "pairs")
     # Whoever shares a bucket is in one of these pairs, so the blocks need no text.
-    found = written(_bags(docs, pairs), "bags")
-    step = written(components(links(pairs, found, threshold), "one", "two"), "step")
+    found = written(_bags(docs, nodes, pairs), "bags")
+    step = components(links(pairs, found, threshold), "one", "two")
     named = written(_merged(nodes.select("key", F.col("key").alias("root")), step), "roots")
+    dropped(pairs)
     blocks = _blocks(_members(nodes).join(named, "key"), found.select("key", "size"), block_texts)
     joined = written(_joined(blocks, found, threshold).distinct(), "joined")
+    dropped(found)
     return _merged(named, written(components(joined, "root_one", "root_two"), "step"))
 
 
@@ -297,6 +307,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
     def banded(column: pa.Array) -> pa.Array:
         return bands(column)
 
+    docs = docs.select("doc_id", "text")
     rows = written(docs.select("doc_id", _key("text").alias("key"), banded(F.col("text")).alias("bands")), "signatures")
     nodes = written(rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands")), "nodes")
     named = nodes.select("key", "doc_id").join(roots(docs, nodes, threshold), "key")
@@ -314,9 +325,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, with all their columns, cut down to one of each class: that of its least doc_id."""
     _, named = classes(docs, threshold)
-    kept = named.where("key = class_key").select(F.col("key").alias("_k"), F.col("class_id").alias("_c"))
-    key = "_key" + "_" * max((len(c) for c in docs.columns), default=0)
+    key = fresh("key", docs)
+    of, best = fresh("of_class", docs), fresh("class_id", docs)
+    kept = named.where("key = class_key").select(F.col("key").alias(of), F.col("class_id").alias(best))
     # By key and id, so that copies of one text don't meet in one task; rows that repeat both fall to dropDuplicates,
     # which finds them dealt out already.
-    out = docs.withColumn(key, _key("text")).join(kept, (F.col(key) == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_c")), "left_semi")
+    out = docs.withColumn(key, _key("text")).join(kept, (F.col(key) == F.col(of)) & F.col("doc_id").eqNullSafe(F.col(best)), "left_semi")
     return out.dropDuplicates([key, "doc_id"]).drop(key)

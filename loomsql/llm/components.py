@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import written
+from .scratch import dropped, written
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -29,7 +29,8 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     edges = written(edges, "edges")
     state = None
     while True:
-        edges = written(_stars(_stars(edges, True), False), "edges")
+        before, edges = edges, written(_stars(_stars(edges, True), False), "edges")
+        dropped(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:  # nothing moved: all edges lead to roots
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -5,15 +5,17 @@ target's; a document's weight is its cell's factor. Documents are then sampled b
 min(1, k * weight), k such that the expected tokens are the budget.
 
 Targets: shares by value, or by default the margin's own shares to the power TEMPER (0: all values alike). A topic is the
-group of the hashed vocabulary that has most of a document's long words; a document without long words has topic -1.
+group of the hashed vocabulary that has most of a document's long words; a document without long words has topic -1. That
+is a stand-in for tables without topics: a column of topics can be named instead.
 
-The cells are few (values of source times languages times topics): up to MOST_CELLS are raked in numpy on the driver and
-broadcast; more are raked as DataFrames, a table written each round, and joined without a hint.
+The cells are few (values of source times languages times topics): up to MOST_CELLS, with names of MOST_BYTES, are raked
+in numpy on the driver and broadcast; more are raked as DataFrames, a table written each round, and joined without a hint.
 
-Defined results: a null source or language is a value of its own; a null text is empty, and cells without tokens have
+Defined results: a null source, language or topic is a value of its own; texts of any length are measured whole, in
+slices; a null text is empty, and cells without tokens have
 weight 1; a target for a value that isn't there has no effect, values without a target get weight 0, and where no value
 has one all have equal shares; targets that no cell can meet together leave weights of 0; the same id draws the same
-number in every row; an empty table gives no rows; extra columns stay.
+number in every row; an empty table gives no rows; extra columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,13 +24,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import bytesops as bo
-from .scratch import written
+from .scratch import fresh, written
 
 MARGINS = ("source", "lang", "topic")
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.0}
-TOPICS, LONG_WORD, BUDGET, MOST_CELLS, ROUNDS, TOLERANCE = 8, 7, 0.5, 100_000, 200, 1e-9
+TOPICS, LONG_WORD, BUDGET, ROUNDS, TOLERANCE = 8, 7, 0.5, 200, 1e-9
+#: Cells, and bytes of their names, that are raked on the driver and broadcast at most.
+MOST_CELLS, MOST_BYTES = 20_000, 2 << 20
 
 
 def measured(column: pa.Array) -> pa.Array:
@@ -94,7 +99,8 @@ def _rake_frames(cells: DataFrame, targets: dict, budget: float) -> DataFrame:
     given = {}
     for m in MARGINS:
         if targets.get(m):  # a value of another type can't occur
-            pairs = [(v if v is None else int(v) if m == "topic" else v, float(t)) for v, t in targets[m].items() if v is None or isinstance(v, (int, np.integer) if m == "topic" else str)]
+            text = cells.schema[m].dataType == StringType()
+            pairs = [(v if v is None or text else int(v), float(t)) for v, t in targets[m].items() if v is None or isinstance(v, str if text else (int, np.integer))]
             aims = cells.sparkSession.createDataFrame(pairs, f"_v {cells.schema[m].dataType.simpleString()}, _aim double")
             there = state.select(m).distinct()
             there = written(there.join(aims, there[m].eqNullSafe(aims["_v"]), "left").select(F.col(m).alias("_v"), F.coalesce("_aim", F.lit(0.0)).alias("_aim")), "targets")
@@ -132,36 +138,43 @@ def draw(id_col: str, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
 
 
-def mixture(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, most_cells: int = MOST_CELLS, name: str = "mix") -> DataFrame:
-    """The rows with a column `name`: n_tokens, topic, weight, p (probability of being kept) and kept."""
+def mixture(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, most_cells: int = MOST_CELLS, name: str = "mix", topic: str | None = None) -> DataFrame:
+    """The rows with a column `name`: n_tokens, topic, weight, p (probability of being kept) and kept. topic: a column
+    that holds the topics; without it they are taken from the texts' words."""
     targets = targets or {}
 
     @F.arrow_udf("struct<n_tokens:bigint,topic:bigint>")
     def measure(column: pa.Array) -> pa.Array:
         return measured(column)
 
-    told = docs.withColumn(name, measure(F.col("text")))
-    cells = told.groupBy("source", "lang", F.col(f"{name}.topic").alias("topic")).agg(F.sum(f"{name}.n_tokens").cast("double").alias("tokens"))
-    cells = written(cells, "cells")
-    if cells.count() <= most_cells:
+    told, own = docs.withColumn(name, measure(F.col("text"))), F.col(f"{name}.topic")
+    if topic:
+        own = F.col(topic)
+        told = told.withColumn(name, F.struct(F.col(f"{name}.n_tokens"), own.alias("topic")))
+    cells = written(told.groupBy("source", "lang", F.col(f"{name}.topic").alias("topic")).agg(F.sum(f"{name}.n_tokens").cast("double").alias("tokens")), "cells")
+    size = cells.agg(F.count("*").alias("n"), F.sum(sum(F.coalesce(F.octet_length(F.col(m).cast("string")), F.lit(0)) for m in MARGINS)).alias("bytes")).first()
+    s, g, t, fit = (fresh(x, told) for x in ("of_source", "of_lang", "of_topic", "fitted"))
+    if size["n"] <= most_cells and (size["bytes"] or 0) <= MOST_BYTES:
         rows = cells.collect()
         tokens = np.array([r["tokens"] for r in rows], float)
         values, goals = [], []
         for m in MARGINS:
             names = sorted({r[m] for r in rows}, key=lambda v: (v is None, str(v)))
-            of = np.array([names.index(r[m]) for r in rows], np.int64)
+            number = {v: k for k, v in enumerate(names)}
+            of = np.array([number[r[m]] for r in rows], np.int64)
             values.append(of)
             goals.append(shares(np.bincount(of, tokens, len(names)), names, targets.get(m), TEMPER[m]))
         weight = rake(values, tokens, goals)
         p = calibrated(weight, tokens, budget * tokens.sum()) if tokens.sum() else np.ones(len(rows))
         made = [(r["source"], r["lang"], r["topic"], float(w), float(q)) for r, w, q in zip(rows, weight, p, strict=True)]
-        fitted = F.broadcast(docs.sparkSession.createDataFrame(made, "_s string, _l string, _t long, weight double, p double"))
+        kinds = [cells.schema[m].dataType.simpleString() for m in MARGINS]
+        fitted = F.broadcast(docs.sparkSession.createDataFrame(made, f"source {kinds[0]}, lang {kinds[1]}, topic {kinds[2]}, weight double, p double"))
     else:
-        fitted = _rake_frames(cells, targets, budget).select(F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("weight").alias("weight"), "p")
-    fitted = fitted.select("_s", "_l", "_t", F.struct("weight", "p").alias("_f"))
-    same = F.col("source").eqNullSafe(F.col("_s")) & F.col("lang").eqNullSafe(F.col("_l")) & F.col(f"{name}.topic").eqNullSafe(F.col("_t"))
+        fitted = _rake_frames(cells, targets, budget)
+    fitted = fitted.select(F.col("source").alias(s), F.col("lang").alias(g), F.col("topic").alias(t), F.struct("weight", "p").alias(fit))
+    same = F.col("source").eqNullSafe(F.col(s)) & F.col("lang").eqNullSafe(F.col(g)) & F.col(f"{name}.topic").eqNullSafe(F.col(t))
     out = told.join(fitted, same, "left")
-    mix = F.struct(F.col(f"{name}.n_tokens"), F.col(f"{name}.topic"), F.col("_f.weight").alias("weight"), F.col("_f.p").alias("p"), (draw("doc_id") < F.col("_f.p")).alias("kept"))
+    mix = F.struct(F.col(f"{name}.n_tokens"), F.col(f"{name}.topic"), F.col(f"{fit}.weight").alias("weight"), F.col(f"{fit}.p").alias("p"), (draw("doc_id") < F.col(f"{fit}.p")).alias("kept"))
     return out.select(*[F.col(c) for c in docs.columns], mix.alias(name))
 
 
@@ -172,6 +185,5 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 def sample(docs: DataFrame) -> DataFrame:
     """The rows that are kept, with all their columns and a last one, the probability that they had."""
-    name = "_mix" + "_" * max((len(c) for c in docs.columns), default=0)
-    p = "mix_p" + "_" * ("mix_p" in docs.columns)
+    name, p = fresh("mix", docs), fresh("mix_p", docs)
     return mixture(docs, name=name).where(F.col(f"{name}.kept")).select(*[F.col(c) for c in docs.columns], F.col(f"{name}.p").alias(p))

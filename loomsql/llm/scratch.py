@@ -1,4 +1,4 @@
-"""Tables written between steps, in the folder that all executors share."""
+"""Tables written between steps, in the folder that all executors share, and names that clash with no column."""
 
 from __future__ import annotations
 
@@ -27,4 +27,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder(spark)}/loomsql-{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that written() gave and that nothing reads any more; what is still read is left to the cluster's
+    clean-up of the folder."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def fresh(name: str, *frames: DataFrame) -> str:
+    """The name, with underscores until no column of the frames has it in upper or lower case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

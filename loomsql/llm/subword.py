@@ -1,8 +1,9 @@
 """Subword text classifier: hashed word and character n-gram vectors, averaged per document, into a linear softmax.
 
-All vectors and the softmax are trained together by stochastic gradient descent (Adagrad steps) in numpy on the driver,
-on a sample of labelled texts whose size is a parameter of the caller. Executors score whole texts: for scoring, each
-n-gram's vector is folded with the softmax into one number, so that a model is a table of `buckets` floats.
+All vectors and the softmax are trained together by stochastic gradient descent (Adagrad steps) in numpy, in one task on
+an executor, on a sample of labelled texts whose rows and bytes are parameters of the caller. Executors score whole
+texts: for scoring, each n-gram's vector is folded with the softmax into one number, so that a model is a table of
+`buckets` floats.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ import pyarrow as pa
 from . import bytesops as bo
 
 
-#: Bytes of text that are scored at once: their n-grams take some hundred times as much memory.
-SCORED_BYTES = 512 << 10
+#: Bytes of text that are scored at once, and that are cut into n-grams at once in training: n-grams take some hundred
+#: times as much memory.
+SCORED_BYTES, FITTED_BYTES = 512 << 10, 128 << 10
 
 
 @dataclass(frozen=True)
@@ -122,43 +124,102 @@ def score(model: Model, column: pa.Array) -> np.ndarray:
     return out
 
 
-def features(array: pa.Array, c: Config) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bounds of each text's entries, their buckets and weights: so weighted, the sum of the buckets' vectors is the
-    text's vector. Eight bytes an entry are kept."""
-    counted, buckets, weights = [np.zeros(1, np.int64)], [], []
-    for _, part in bo.slices(array, 1 << 18):
-        w = Words(part, c)
-        counts = np.diff(w.bounds)
-        doc = np.repeat(np.arange(len(part)), counts)
-        if c.mean_of_words:
-            share, per_word = 1 / np.maximum(counts, 1), 1 / w.sizes
-        else:
-            share, per_word = 1 / np.maximum(bo.sums_by_row(w.sizes[w.of], w.bounds), 1), np.ones(len(w.keys))
-        pair, times = np.unique(doc * len(w.keys) + w.of, return_counts=True)
-        doc, word = pair // len(w.keys), pair % len(w.keys)
+class Sample:
+    """Training texts as numbers of words; the subwords of each different word are kept once, whatever number of texts
+    has it. So a sample takes about eight bytes for each different word of each text, and four for each subword of each
+    different word."""
+
+    def __init__(self, c: Config):
+        self.config, self.bounds = c, [0]
+        #: By number of the word: its subwords' bounds and buckets.
+        self.first, self.buckets = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        self._keys, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._words, self._weights = [], []
+
+    def add(self, column: pa.Array) -> None:
+        for _, part in bo.slices(bo.texts(column), FITTED_BYTES):
+            w = Words(part, self.config)
+            number = self._numbered(w)
+            counts = np.diff(w.bounds)
+            whole = counts if self.config.mean_of_words else bo.sums_by_row(w.sizes[w.of], w.bounds)
+            pair, times = np.unique(np.repeat(np.arange(len(part)), counts) * len(w.keys) + w.of, return_counts=True)
+            doc, word = pair // len(w.keys), pair % len(w.keys)
+            self._words.append(number[word].astype(np.int32))
+            self._weights.append((times / np.maximum(whole, 1)[doc]).astype(np.float32))
+            self.bounds += (self.bounds[-1] + np.cumsum(np.bincount(doc, minlength=len(part)))).tolist()
+
+    def _numbered(self, w: Words) -> np.ndarray:
+        """The numbers of a slice's words; what is new gets the next ones."""
+        at = np.searchsorted(self._keys, w.keys)
+        known = at < len(self._keys)
+        known[known] = self._keys[at[known]] == w.keys[known]
+        new, total = np.flatnonzero(~known), len(self.first) - 1
+        number = np.empty(len(w.keys), np.int64)
+        number[known], number[new] = self._numbers[at[known]], total + np.arange(len(new))
         first = np.concatenate(([0], np.cumsum(w.sizes)))
-        bucket = w.buckets[_ranges(first[word], w.sizes[word])]
-        weight = np.repeat(times * share[doc] * per_word[word], w.sizes[word])
-        key, inverse = np.unique(np.repeat(doc, w.sizes[word]) * c.buckets + bucket, return_inverse=True)
-        counted.append(np.bincount(key // c.buckets, minlength=len(part)))
-        buckets.append((key % c.buckets).astype(np.int32))
-        weights.append(np.bincount(inverse, weight, len(key)).astype(np.float32))
-    buckets = np.concatenate(buckets)
-    return np.cumsum(np.concatenate(counted)), buckets, np.concatenate(weights)
+        self.buckets = np.concatenate((self.buckets, w.buckets[_ranges(first[new], w.sizes[new])]))
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(w.sizes[new])))
+        keys, numbers = np.concatenate((self._keys, w.keys[new])), np.concatenate((self._numbers, number[new]))
+        order = np.argsort(keys)
+        self._keys, self._numbers = keys[order], numbers[order]
+        return number
+
+    def done(self) -> Sample:
+        """words, weights: of each text, its different words and the share that a word's vector has in the text's."""
+        self.words = np.concatenate(self._words or [np.zeros(0, np.int32)])
+        self.weights = np.concatenate(self._weights or [np.zeros(0, np.float32)])
+        self.starts = np.array(self.bounds, np.int64)
+        self._words = self._weights = self._keys = self._numbers = None
+        return self
+
+
+class Batch:
+    """Some texts of a sample: their entries, different words and these words' subwords."""
+
+    def __init__(self, s: Sample, rows: np.ndarray):
+        sizes = s.starts[rows + 1] - s.starts[rows]
+        at = _ranges(s.starts[rows], sizes)
+        self.n, self.doc, self.weights = len(rows), np.repeat(np.arange(len(rows)), sizes), s.weights[at]
+        words, self.word = np.unique(s.words[at], return_inverse=True)
+        self.sizes = s.first[words + 1] - s.first[words]
+        self.buckets = s.buckets[_ranges(s.first[words], self.sizes)]
+        self.ends = np.cumsum(self.sizes)
+        #: A word's vector is the mean or the sum of its subwords'.
+        self.scale = 1 / self.sizes if s.config.mean_of_words else np.ones(len(words))
+
+    def hidden(self, vectors: np.ndarray) -> np.ndarray:
+        """The texts' vectors."""
+        out = np.zeros((self.n, vectors.shape[1]))
+        if len(self.word):
+            word = np.add.reduceat(np.take(vectors, self.buckets, axis=0), self.ends - self.sizes, axis=0) * self.scale[:, None]
+            for d in range(out.shape[1]):
+                out[:, d] = np.bincount(self.doc, self.weights * word[self.word, d], self.n)
+        return out
+
+    def gradient(self, error: np.ndarray, buckets: int) -> np.ndarray:
+        """Of each bucket, the sum of the texts' errors by its share in their vectors."""
+        word = np.bincount(self.word, self.weights * error[self.doc], len(self.sizes)) * self.scale
+        return np.bincount(self.buckets, np.repeat(word, self.sizes), buckets).astype(np.float32)
 
 
 def fit(column: pa.Array, labels: np.ndarray, c: Config, prior: float | None = None) -> Model:
     """Train on whole texts. prior: the share of label 1 among all rows, where the sample has been drawn by class."""
-    array, y = bo.texts(column), np.asarray(labels, np.float64)
+    sample = Sample(c)
+    sample.add(column)
+    return train(sample.done(), labels, prior)
+
+
+def train(sample: Sample, labels: np.ndarray, prior: float | None = None) -> Model:
+    """Stochastic gradient descent (Adagrad steps) over all vectors and the softmax together."""
+    c, y = sample.config, np.asarray(labels, np.float64)
     if not len(y) or y.min() == y.max():  # nothing to tell apart
         share = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
         return Model(c, np.zeros(c.buckets, np.float32), float(np.log(share / (1 - share))), len(y))
-    first, buckets, weights = features(array, c)
     rng = np.random.default_rng(c.seed)
-    vectors = rng.normal(0, 0.1, (c.dim, c.buckets)).astype(np.float32)
+    vectors = np.ascontiguousarray(rng.normal(0, 0.1, (c.dim, c.buckets)).astype(np.float32).T)
     # Of a two-class softmax only the difference of the classes' rows matters.
     out, bias = np.linspace(-1, 1, c.dim).astype(np.float32), 0.0
-    seen, seen_out, seen_bias = np.full((c.dim, c.buckets), 1e-10, np.float32), np.full(c.dim, 1e-10, np.float32), 1e-10
+    seen, seen_out, seen_bias = np.full((c.buckets, c.dim), 1e-10, np.float32), np.full(c.dim, 1e-10, np.float32), 1e-10
     even = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     steps, step = c.epochs * -(-len(y) // c.batch), 0
     for _ in range(c.epochs):
@@ -167,24 +228,21 @@ def fit(column: pa.Array, labels: np.ndarray, c: Config, prior: float | None = N
             rows = order[k : k + c.batch]
             rate = np.float32(c.rate * (1 - 0.9 * step / steps))
             step += 1
-            sizes = first[rows + 1] - first[rows]
-            at, doc = _ranges(first[rows], sizes), np.repeat(np.arange(len(rows)), sizes)
-            b, x = buckets[at], weights[at]
-            hidden = np.stack([np.bincount(doc, x * vectors[d][b], len(rows)) for d in range(c.dim)], 1)
-            p = _expit(hidden @ out + bias)
-            error = (p - y[rows]) * even[rows] / len(rows)
+            batch = Batch(sample, rows)
+            hidden = batch.hidden(vectors)
+            error = (_expit(hidden @ out + bias) - y[rows]) * even[rows] / len(rows)
             g_out, g_bias = error @ hidden, error.sum()
             # A bucket's gradient is this sum times the softmax's weight of the dimension.
-            g = np.bincount(b, x * error[doc], c.buckets).astype(np.float32)
+            g = batch.gradient(error, c.buckets)
             touched = np.flatnonzero(g)
-            for d in range(c.dim):
-                step_d = g[touched] * out[d]
-                seen[d][touched] += step_d * step_d
-                vectors[d][touched] -= rate * step_d / np.sqrt(seen[d][touched])
+            move = g[touched, None] * out
+            sums = np.take(seen, touched, axis=0) + move * move
+            seen[touched] = sums
+            vectors[touched] -= rate * move / np.sqrt(sums)
             seen_out += g_out * g_out
             seen_bias += g_bias * g_bias
             out -= rate * g_out / np.sqrt(seen_out)
             bias -= rate * g_bias / np.sqrt(seen_bias)
     if prior is not None:
         bias += np.log(np.clip(prior, 1e-3, 1 - 1e-3) / (1 - np.clip(prior, 1e-3, 1 - 1e-3)))
-    return Model(c, (out @ vectors).astype(np.float32), float(bias), len(y))
+    return Model(c, (vectors @ out).astype(np.float32), float(bias), len(y))

@@ -306,7 +306,7 @@ def test_no_link_of_a_bucket_is_lost(spark):
         texts.append(" ".join(own))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     # All in one bucket, as in a large group of near copies.
-    nodes = docs.select(bagminhash._key("text").alias("key"), F.array(F.lit(7).cast("long")).alias("bands"))
+    nodes = docs.select("doc_id", bagminhash._key("text").alias("key"), F.array(F.lit(7).cast("long")).alias("bands"))
     keys = [hashlib.md5(t.encode()).hexdigest() for t in texts]
     packs = bagminhash.packed(pa.array(texts, pa.large_string())).to_pylist()
     root = {k: k for k in keys}
