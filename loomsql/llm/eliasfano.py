@@ -1,12 +1,13 @@
 """Elias-Fano sequences and a two-level n-gram trie of them, with vectorised lookups.
 
 A sequence of n ascending integers below u keeps the low l = log2(u / n) bits of each in a packed array and the high
-bits as a unary bit vector: about 2 + l bits each. All arrays of a trie lie one after the other in one buffer, so that
-it can be a memory-mapped file.
+bits as a unary bit vector: about 2 + l bits each. All arrays of a trie lie one after the other in one memory map.
 """
 
 from __future__ import annotations
 
+import mmap
+
 import numpy as np
 
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
@@ -15,34 +16,39 @@ _PLACE = np.zeros((256, 8), np.uint8)
 for _b in range(256):
     for _k, _p in enumerate([i for i in range(8) if _b >> i & 1]):
         _PLACE[_b, _k] = _p
+#: Low bits of a value at most, so that values stay whole in 64-bit words.
+_MOST_LOW = 56
 
 
 class EliasFano:
-    """n ascending integers (equal ones allowed) below `universe`."""
+    """n ascending integers (equal ones allowed) below 2 ** 63."""
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.l, self.low, self.high = n, low_bits, low, high
-        ones = _POPCOUNT[high].astype(np.int64)
-        #: Ones and zeros before each byte of the bit vector, every STEP-th kept.
-        self.ones = np.concatenate(([0], np.cumsum(ones)))
+        #: Ones and zeros before each byte of the bit vector.
+        self.ones = np.concatenate(([0], np.cumsum(_POPCOUNT[high].astype(np.int64))))
         self.zeros = np.arange(len(high) + 1) * 8 - self.ones
 
     @classmethod
     def arrays(cls, values: np.ndarray, universe: int) -> tuple[int, int, np.ndarray, np.ndarray]:
-        """n, low bits, and the two arrays of bytes."""
+        """n, low bits, and the two arrays: 64-bit words and bytes."""
         n = len(values)
-        low_bits = max(0, int(universe // max(n, 1)).bit_length() - 1)
+        low_bits = min(_MOST_LOW, max(0, int(universe // max(n, 1)).bit_length() - 1))
         values = values.astype(np.uint64)
-        mask = np.uint64((1 << low_bits) - 1)
-        if low_bits:
-            bits = ((values & mask)[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)
-            low = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
-        else:
-            low = np.zeros(0, np.uint8)
+        bit = np.arange(n) * low_bits
+        words, shift = bit >> 6, (bit & 63).astype(np.uint64)
+        packed = np.zeros((n * low_bits >> 6) + 2, np.uint64)
+        if low_bits and n:
+            low = values & np.uint64((1 << low_bits) - 1)
+            # Of each word, what begins in it; then what the last of these leaves for the next word.
+            at = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+            packed[words[at]] = np.bitwise_or.reduceat(low << shift, at)
+            over = np.flatnonzero(shift.astype(np.int64) + low_bits > 64)
+            packed[words[over] + 1] |= low[over] >> (np.uint64(64) - shift[over])
         at = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         bits = np.zeros(int(at[-1]) + 2 if n else 1, np.uint8)
         bits[at] = 1
-        return n, low_bits, np.concatenate((low, np.zeros(9, np.uint8))), np.packbits(bits, bitorder="little")
+        return n, low_bits, packed, np.packbits(bits, bitorder="little")
 
     def _select(self, k: np.ndarray, counts: np.ndarray, flip: int) -> np.ndarray:
         byte = np.searchsorted(counts, k, "right") - 1
@@ -58,12 +64,10 @@ class EliasFano:
         if not self.l:
             return np.zeros(len(i), np.int64)
         bit = i * self.l
-        at, out = bit >> 3, np.zeros(len(i), np.uint64)
-        for k in range(8):
-            out |= self.low[at + k].astype(np.uint64) << np.uint64(8 * k)
-        out >>= (bit & 7).astype(np.uint64)
-        if self.l > 56:
-            out |= np.where(bit & 7, self.low[at + 8].astype(np.uint64) << (np.uint64(64) - (bit & 7).astype(np.uint64)) % np.uint64(64), np.uint64(0))
+        word, shift = bit >> 6, (bit & 63).astype(np.uint64)
+        out = self.low[word] >> shift
+        # A shift by 64 places is none; so it is made in two steps.
+        out |= self.low[word + 1] << (np.uint64(63) - shift) << np.uint64(1)
         return (out & np.uint64((1 << self.l) - 1)).astype(np.int64)
 
     def successor(self, x: np.ndarray, first: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> np.ndarray:
@@ -78,68 +82,63 @@ class EliasFano:
         lo = np.where(bucket - 1 >= total, self.n, lo)
         lo, hi = np.clip(lo, first, end), np.clip(np.minimum(hi, self.n), first, end)
         low = x & ((1 << self.l) - 1)
-        while True:
-            open_ = np.flatnonzero(lo < hi)
-            if not len(open_):
-                return lo
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
             mid = (lo[open_] + hi[open_]) >> 1
             less = self._low(mid) < low[open_]
             lo[open_] = np.where(less, mid + 1, lo[open_])
             hi[open_] = np.where(less, hi[open_], mid)
+            open_ = open_[lo[open_] < hi[open_]]
+        return lo
 
 
 class Trie:
-    """Contexts, and under each its successors with a code (a count, or what stands for one).
+    """Contexts, and under each its successors with a code (0 is no code).
 
-    Level 1: the sorted contexts, with monotone pointers to their successors. Level 2: the successors as ranks in the
-    sorted words of this shard, made ascending over all contexts by adding the context's number times the number of
-    words, so that a lookup is a successor search within the context's range.
+    Level 1: the sorted contexts, with monotone pointers to their successors. Level 2: the successors below 2 ** 32, made
+    ascending over all contexts by adding the context's number times 2 ** 32, so that a lookup is a successor search
+    within the context's range.
     """
 
-    def __init__(self, contexts, pointers, words, successors, codes):
-        self.contexts, self.pointers, self.words, self.successors, self.codes = contexts, pointers, words, successors, codes
+    def __init__(self, contexts: EliasFano, pointers: EliasFano, successors: EliasFano, codes: np.ndarray):
+        self.contexts, self.pointers, self.successors, self.codes = contexts, pointers, successors, codes
 
     @classmethod
-    def build(cls, first: np.ndarray, second: np.ndarray, codes: np.ndarray, file, universes: tuple[int, int]) -> Trie:
-        """first, second: numbers below the universes, sorted by (first, second), without repeats. All levels go to the
-        file, which is then mapped."""
-        contexts, start = np.unique(first, return_index=True)
-        words, rank = np.unique(second, return_inverse=True)
-        start = np.append(start, len(first))
-        number = np.repeat(np.arange(len(contexts)), np.diff(start))
+    def build(cls, first: np.ndarray, second: np.ndarray, codes: np.ndarray, universe: int) -> Trie:
+        """first: contexts below the universe; second: successors; sorted by (first, second), without repeats. All levels
+        are laid out in one anonymous memory map."""
+        at = np.flatnonzero(np.append(True, first[1:] != first[:-1])) if len(first) else np.zeros(0, np.int64)
+        start = np.append(at, len(first))
+        number = np.repeat(np.arange(len(at)), np.diff(start))
         parts = [
-            EliasFano.arrays(contexts, universes[0]),
+            EliasFano.arrays(first[at], universe),
             EliasFano.arrays(start, len(first) + 1),
-            EliasFano.arrays(words, universes[1]),
-            EliasFano.arrays(number * len(words) + rank, max(len(contexts) * len(words), 1)),
+            EliasFano.arrays(number << 32 | second.astype(np.int64), max(len(at), 1) << 32),
         ]
-        where, at = [], 0
-        for a in [x for p in parts for x in p[2:]] + [codes]:
-            file.write(a.tobytes())
-            where.append((at, a.nbytes))
-            at += a.nbytes
-        file.flush()
-        mapped = np.memmap(file, np.uint8, "r") if at else np.zeros(0, np.uint8)
-        arrays = [mapped[a : a + n] for a, n in where]
-        return cls(*[EliasFano(p[0], p[1], arrays[2 * k], arrays[2 * k + 1]) for k, p in enumerate(parts)], arrays[-1].view(codes.dtype))
-
-    def lookup(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """The code of each n-gram, 0 for one that the trie doesn't have."""
-        out = np.zeros(len(first), self.codes.dtype)
-        if not self.contexts.n or not len(first):
+        arrays = [x for p in parts for x in p[2:]] + [codes]
+        room = [-(-a.nbytes // 8) * 8 for a in arrays]  # each begins at a multiple of eight
+        buffer = np.frombuffer(mmap.mmap(-1, max(sum(room), 1)), np.uint8)
+        laid, place = [], 0
+        for a, r in zip(arrays, room, strict=True):
+            laid.append(buffer[place : place + a.nbytes].view(a.dtype))
+            laid[-1][:] = a
+            place += r
+        return cls(*[EliasFano(p[0], p[1], laid[2 * k], laid[2 * k + 1]) for k, p in enumerate(parts)], laid[-1])
+
+    def lookup(self, contexts: np.ndarray, sizes: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The codes of n-grams, 0 for one that the trie doesn't have. sizes: how many of the second words each context
+        has."""
+        out = np.zeros(len(second), self.codes.dtype)
+        if not self.contexts.n or not len(second):
             return out
-        c, found = _place(self.contexts, first)
-        w, found2 = _place(self.words, second)
-        at = np.flatnonzero(found & found2)
-        x = c[at] * self.words.n + w[at]
-        low, high = self.pointers.get(c[at]), self.pointers.get(c[at] + 1)
-        i = self.successors.successor(x, low, high)
-        hit = (i < high) & (self.successors.get(np.minimum(i, self.successors.n - 1)) == x)
+        contexts = contexts.astype(np.int64)
+        c = self.contexts.successor(contexts)
+        known = (c < self.contexts.n) & (self.contexts.get(np.minimum(c, self.contexts.n - 1)) == contexts)
+        c = np.where(known, c, 0)
+        low, high, c = (np.repeat(x, sizes) for x in (self.pointers.get(c), self.pointers.get(c + 1), c))
+        at = np.flatnonzero(np.repeat(known, sizes))
+        x = c[at] << 32 | second[at].astype(np.int64)
+        i = self.successors.successor(x, low[at], high[at])
+        hit = (i < high[at]) & (self.successors.get(np.minimum(i, self.successors.n - 1)) == x)
         out[at[hit]] = self.codes[i[hit]]
         return out
-
-
-def _place(level: EliasFano, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each number stands in a level, and whether it does."""
-    i = level.successor(x.astype(np.int64))
-    return i, (i < level.n) & (level.get(np.minimum(i, level.n - 1)) == x.astype(np.int64))

@@ -1,28 +1,33 @@
 """LM scoring with an n-gram model over all training text, kept as Elias-Fano tries dealt out over shards.
 
-1. Documents are packed into blocks of about BLOCK_TOKENS tokens; a block keeps its distinct words (as hashes) and
-   its texts as numbers of them. Blocks are written once.
-   Words are 48-bit hashes, and 40 bits of them tell a context's successors apart: of a billion words, one in 300,000
-   shares its hash with another.
-2. Each block counts its words and word pairs in training documents, and sends each to a shard by a hash of the n-gram,
-   so a frequent word's pairs are dealt out too, and a pair is sent once per block however often it occurs.
-3. A shard adds the counts up, builds the trie of its pairs (their exact counts in memory-mapped levels), and
-   looks up the pairs of each block by successor search in the context's range. Words are answered with exact counts.
-4. Blocks meet their answers and score their documents.
-
-All steps are linear in the tokens, nothing is broadcast but three numbers, and the model has no pruning and no cap.
-
-The probability of a word after the one before it (the end token stands before the first):
-(c(h, w) + MU * p(w)) / (c(h) + MU), p(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)). All counts are exact, so
-no probability exceeds 1; they are smoothed at scoring, by word counts that no trie holds.
-
-Defined results: a null text is an empty one (one end token); a null id is an empty id for the fold; repeated rows are
-counted each; without training documents N = V = 0 and all words are unknown; extra columns play no part.
+1. Documents are packed into blocks of about BLOCK_TOKENS tokens; a block keeps its distinct words (as 64-bit hashes) and
+   its texts as numbers of them.
+2. Words are counted: each block sends its distinct words to shards, by their hashes, and gets their counts in all
+   training documents back.
+3. Then for each order from 2 to ORDER: a block sends its distinct n-grams, grouped by context, to a shard that a hash of
+   the context chooses. With a context goes its count, with a word its count in the block and the probability (in steps)
+   that the shorter context gives it. The shard adds the counts up and builds a trie of quantised smoothed probabilities
+   in memory-mapped levels: contexts, monotone pointers, successors. Each block's n-grams are looked up by successor
+   search in their context's range; the block keeps what comes back.
+4. Blocks score their documents.
+
+A context that was seen more than SALT_TOKENS times is dealt over as many shards as that takes, by a hash of the next word:
+no shard gets more of it, however frequent it is. Nothing is broadcast but four numbers; the model has no pruning and no
+cap. Messages are rows of a block and a shard, so their number grows with the product of both; see the README for the
+sizes at which larger blocks and shards are needed.
+
+The probability of a word w after a context h that was seen c(h) times: (1 - m) * c(h, w) / c(h) + m * p(w after h without
+its first word), with m = A * c(h) ** -E by LEFT, or 1 where c(h) is 0; of no context, (c(w) + 0.1) / (N + 0.1 * (V + 1)). A
+start mark stands before a text. As all factors depend on counts that are exact, m needs no count of a context's different
+successors, which no shard of a dealt-out context would have.
+
+Defined results: a null text is an empty one (one end token); texts of any length are scored whole; a null id is an empty
+id for the fold; repeated rows are counted each; without training documents N = V = 0 and all words are unknown; an empty
+table gives no rows; extra columns play no part.
 """
 
 from __future__ import annotations
 
-import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -33,39 +38,65 @@ from pyspark.sql import functions as F
 
 from . import bytesops as bo
 from .eliasfano import Trie
-from .scratch import written
+from .scratch import dropped, written
+from .subword import _ranges
 
-FOLDS, MU = 10, 10.0
+ORDER, FOLDS = 3, 10
+#: By order, A and E of the share of a context's probability that is left to the shorter context.
+LEFT = {2: (0.97, 0.1), 3: (0.85, 0.2)}
 BLOCK_TOKENS = 1_500_000
-#: Tokens per shard, about.
-SHARD_TOKENS = 1_000_000
-#: Bytes of a word's hash, and of a successor's.
-WORD, NEXT = 6, 5
-#: Key of the end token: no word has it but by chance.
-END = np.uint64(0x1F3D5B79A2C4)
-#: Parts into which a word's pairs are dealt: pairs of one word go to so many shards at most.
-SALTS = 8
-#: Steps of 4 % above 127. The trie holds exact counts; only the brute-force test's reference reads these.
-STEPS = np.concatenate((np.arange(128), np.round(127 * 1.04 ** np.arange(1, 640)))).astype(np.float64)
-
-BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.binary()), ("words", pa.binary()), ("tokens", pa.binary()), ("n_train", pa.int64())])
-MESSAGE = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("words", pa.binary()), ("word_counts", pa.binary()), ("firsts", pa.binary()), ("first_sizes", pa.binary()), ("seconds", pa.binary()), ("pair_counts", pa.binary())])
+#: Tokens per shard, about, and occurrences of a context in one shard.
+SHARD_TOKENS, SALT_TOKENS = 1_000_000, 500_000
+#: Keys of the end token and of the context before a text: no word and no context has them but by chance.
+END, START = np.uint64(0x1F3D5B79A2C4E687), np.uint64(0x3C6EF372FE94F82B)
+#: Steps of a code to a factor of ten in a probability. Code 0 is no code, code 1 a probability of one.
+STEPS = 2000
+#: Steps to a factor of e in the probability that goes with a word, which is one byte.
+LOW_STEPS = 8
+
+BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.binary()), ("words", pa.binary()), ("tokens", pa.binary()), ("n_train", pa.int64()), ("n_docs", pa.int64()), ("counts", pa.list_(pa.binary())), ("codes", pa.list_(pa.binary()))])
+MESSAGE = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("sizes", pa.binary()), ("totals", pa.binary()), ("seconds", pa.binary()), ("low", pa.binary()), ("counts", pa.binary())])
 ANSWER = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("counts", pa.binary()), ("codes", pa.binary()), ("types", pa.int64())])
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
 def ddl(schema: pa.Schema) -> str:
-    names = {pa.int64(): "bigint", pa.binary(): "binary", pa.float64(): "double", pa.bool_(): "boolean", pa.list_(pa.int64()): "array<bigint>", pa.list_(pa.bool_()): "array<boolean>"}
+    names = {pa.int64(): "bigint", pa.binary(): "binary", pa.float64(): "double", pa.bool_(): "boolean", pa.list_(pa.int64()): "array<bigint>", pa.list_(pa.bool_()): "array<boolean>", pa.list_(pa.binary()): "array<binary>"}
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _planes(numbers: np.ndarray, k: int) -> bytes:
+    """The low k bytes of each number: all first bytes, then all second ones, ..."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes()
+
+
+def _numbers(data: bytes, k: int) -> np.ndarray:
+    wide = np.zeros((len(data) // k, 8), np.uint8)
+    wide[:, :k] = np.frombuffer(data, np.uint8).reshape(k, -1).T
+    return wide.view("<u8").ravel()
+
+
+def _shrunk(numbers: np.ndarray, k: int = 4) -> bytes:
+    """Numbers of k bytes, mostly small, byte by byte and compressed."""
+    return zlib.compress(_planes(numbers, k), 1)
+
+
+def _grown(data: bytes, k: int = 4) -> np.ndarray:
+    return _numbers(zlib.decompress(data), k).astype(np.int64)
+
+
 def tokens_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts of a slice, an end token after each text, and the tokens of each text."""
     data, offsets = bo.separated(array)
     data = bo.lowered(data)
     starts, ends = bo.spans(data, bo.NOT_SPACE)
     bounds = bo.rows_of(starts, offsets)
-    keys = bo.hashed(bo.prefix_sums(data), starts, ends) >> np.uint64(64 - 8 * WORD)
+    keys = bo.hashed(bo.prefix_sums(data), starts, ends)
     return np.insert(keys, bounds[1:], END), np.diff(bounds) + 1
 
 
@@ -73,6 +104,28 @@ def held_out(doc_ids: list) -> list[bool]:
     return [zlib.crc32(b"" if i is None else str(i).encode()) % FOLDS == 0 for i in doc_ids]
 
 
+def left(order: int, seen: np.ndarray) -> np.ndarray:
+    """The share of a context's probability that goes by the shorter context."""
+    a, e = LEFT[min(order, max(LEFT))]
+    return np.where(seen > 0, a * np.maximum(seen, 1).astype(float) ** -e, 1.0)
+
+
+def coded(p: np.ndarray) -> np.ndarray:
+    return (1 + np.clip(np.rint(-np.log10(p) * STEPS), 0, 65534)).astype(np.uint16)
+
+
+def decoded(codes: np.ndarray) -> np.ndarray:
+    return 10 ** (-(codes.astype(float) - 1) / STEPS)
+
+
+def _low_coded(p: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(-np.log(p) * LOW_STEPS), 0, 255).astype(np.uint8)
+
+
+def _low_decoded(codes: np.ndarray) -> np.ndarray:
+    return np.exp(-codes.astype(float) / LOW_STEPS)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -81,14 +134,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
 
     def pack():
         words, tokens = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.concatenate(sizes)
-        held = held_out(ids)
+        n, held = np.concatenate(sizes), held_out(ids)
         # Frequent words get small numbers: they compress well.
         order = np.argsort(-np.bincount(tokens), kind="stable")
         number = np.empty(len(order), np.uint32)
         number[order] = np.arange(len(order), dtype=np.uint32)
-        row = [[(part << 24) + k], [ids], [held], [n.astype(np.int64).tobytes()], [_planes(words[order], WORD)], [_shrunk(number[tokens])], [int(n[~np.array(held)].sum())]]
-        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, BLOCK, strict=True)], schema=BLOCK)
+        train = ~np.array(held)
+        return _batch([((part << 24) + k, ids, held, n.astype(np.int64).tobytes(), words[order].tobytes(), _shrunk(number[tokens]), int(n[train].sum()), int(train.sum()), [], [])], BLOCK)
 
     for batch in batches:
         array = bo.texts(batch.column(1))
@@ -105,135 +157,209 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
         yield pack()
 
 
-def _shrunk(numbers: np.ndarray) -> bytes:
-    """32-bit numbers, mostly small, byte by byte and compressed."""
-    return zlib.compress(_planes(numbers, 4), 1)
+class Block:
+    """A block's distinct n-grams, at the last order whose counts have come back or the one after it."""
+
+    def __init__(self, row: dict, train_tokens: int, types: int, train_docs: int, salt_tokens: int = SALT_TOKENS):
+        self.row, self.order, self.train_docs, self.salt_tokens = row, 1, train_docs, salt_tokens
+        self.words, self.tokens = np.frombuffer(row["words"], np.uint64), _grown(row["tokens"])
+        self.sizes = np.frombuffer(row["sizes"], np.int64)
+        self.train = np.repeat(~np.array(row["held_out"], bool), self.sizes)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        #: The n-gram at each place, the hashes of the distinct ones.
+        self.of, self.hashes = self.tokens, self.words
+        if row["counts"]:
+            self.counts = _grown(row["counts"][0], 6)
+            self.p = (self.counts + 0.1) / (train_tokens + 0.1 * (types + 1))
+            self.known = self.counts > 0
+            for k in range(len(row["codes"])):
+                self.longer()
+                self.learn(_grown(row["counts"][k + 1], 6) if k + 1 < len(row["counts"]) else None, np.frombuffer(row["codes"][k], np.uint16))
+
+    def longer(self) -> None:
+        """On to the next order."""
+        contexts = np.empty_like(self.of)
+        contexts[1:] = self.of[:-1]
+        contexts[self.first] = len(self.hashes)
+        hashes, seen = np.append(self.hashes, START), np.append(self.counts, self.train_docs)
+        distinct, of = np.unique(contexts * len(self.words) + self.tokens, return_inverse=True)
+        self.context, self.word = distinct // len(self.words), distinct % len(self.words)
+        shorter = np.empty(len(distinct), np.int64)
+        shorter[of] = self.of
+        with np.errstate(over="ignore"):
+            self.hashes = bo.mix(hashes[self.context] * np.uint64(0x9E3779B97F4A7C15) + self.words[self.word] + np.uint64(1))
+        self.of, self.order, self.low = of, self.order + 1, self.p[shorter]
+        self.context_hashes, self.seen = hashes, seen
+
+    def learn(self, counts: np.ndarray | None, codes: np.ndarray) -> None:
+        """The counts of the distinct n-grams, and the codes of their probabilities; what has none goes by the shorter."""
+        self.counts = counts
+        self.p = np.where(codes > 0, decoded(codes), left(self.order, self.seen[self.context]) * self.low)
+
+    def laid_out(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The order in which n-grams are sent; of each group its key, size and context. Keys ascend, and their first bits
+        choose the shard."""
+        if self.order == 1:
+            keys = bo.mix(self.words)
+            order = np.argsort(keys)
+            return order, keys[order], np.ones(len(order), np.int64), order
+        salts = 1 + self.seen[self.context] // self.salt_tokens
+        order, salt, hot = np.arange(len(self.word)), np.zeros(len(self.word), np.uint64), np.flatnonzero(salts > 1)
+        salt[hot] = bo.mix(self.words[self.word[hot]]) % salts[hot].astype(np.uint64)
+        order[hot] = hot[np.lexsort((salt[hot], self.context[hot]))]
+        context, salt = self.context[order], salt[order]
+        at = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (salt[1:] != salt[:-1])))
+        with np.errstate(over="ignore"):
+            keys = bo.mix(self.context_hashes[context[at]] * np.uint64(31) + salt[at])
+        by, sizes = np.argsort(keys), np.diff(np.append(at, len(order)))
+        return order[_ranges(at[by], sizes[by])], keys[by], sizes[by], context[at][by]
 
+    def messages(self, shards: int) -> list[tuple]:
+        order, keys, sizes, context = self.laid_out()
+        counts = np.bincount(self.of, self.train, len(self.hashes)).astype(np.int64)[order]
+        bounds = np.searchsorted(_shard(keys, shards), np.arange(shards + 1))
+        ends, out = np.concatenate(([0], np.cumsum(sizes))), []
+        for s in np.flatnonzero(np.diff(bounds)).tolist():
+            a, b = bounds[s : s + 2]
+            c, d = ends[a], ends[b]
+            if self.order == 1:
+                out.append((s, self.row["block"], _planes(np.diff(keys[a:b], prepend=np.uint64(0)), 8), None, None, None, None, _shrunk(counts[c:d])))
+                continue
+            short, grams = keys[a:b] >> np.uint64(16), order[c:d]
+            out.append((s, self.row["block"], _planes(np.diff(short, prepend=np.uint64(0)), 6), _shrunk(sizes[a:b]), _shrunk(self.seen[context[a:b]], 6), _second(self.words[self.word[grams]]).tobytes(), _low_coded(self.low[grams]).tobytes(), _shrunk(counts[c:d])))
+        return out
 
-def _grown(data: bytes) -> np.ndarray:
-    return _numbers(zlib.decompress(data), 4).astype(np.int64)
 
+def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
-def _planes(numbers: np.ndarray, k: int) -> bytes:
-    """The low k bytes of each number: all first bytes, then all second ones, ..."""
-    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes()
 
+def _second(words: np.ndarray) -> np.ndarray:
+    """What tells the words after one context apart."""
+    return (words >> np.uint64(32)).astype(np.uint32)
 
-def _numbers(data: bytes, k: int) -> np.ndarray:
-    wide = np.zeros((len(data) // k, 8), np.uint8)
-    wide[:, :k] = np.frombuffer(data, np.uint8).reshape(k, -1).T
-    return wide.view("<u8").ravel()
 
+def _sent(batches: Iterator[pa.RecordBatch], numbers: tuple, shards: int) -> Iterator[pa.RecordBatch]:
+    """A block's messages of the order after those that it has the counts of."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            block = Block(row, *numbers)
+            if row["counts"]:
+                block.longer()
+            yield _batch(block.messages(shards), MESSAGE)
 
-class Grams:
-    """A block's distinct words and pairs, in the order of the shards that they belong to."""
-
-    def __init__(self, words: bytes, tokens: bytes, sizes: bytes, held: list[bool], shards: int):
-        self.words, self.tokens = _numbers(words, WORD), _grown(tokens)
-        self.sizes = np.frombuffer(sizes, np.int64)
-        self.train = np.repeat(~np.array(held, bool), self.sizes)
-        end = int(np.flatnonzero(self.words == END)[0])
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[0] = end  # an end token stands before each first word
-        self.before = before
-        n = len(self.words)
-        pairs, self.pair = np.unique(before * n + self.tokens, return_inverse=True)
-        first, second = pairs // n, pairs % n
-        salt = bo.mix(self.words) & np.uint64(SALTS - 1)
-        with np.errstate(over="ignore"):
-            of_pair = bo.mix(self.words[first] * np.uint64(31) + salt[second]) % np.uint64(shards)
-        of_word = bo.mix(self.words) % np.uint64(shards)
-        # Within a shard: words ascending; pairs by first, then second word.
-        self.word_order = np.lexsort((self.words, of_word))
-        following = self.words >> np.uint64(8 * (WORD - NEXT))
-        self.pair_order = np.lexsort((following[second], self.words[first], of_pair))
-        self.word_shard, self.pair_shard = of_word[self.word_order].astype(np.int64), of_pair[self.pair_order].astype(np.int64)
-        self.first, self.second = self.words[first[self.pair_order]], following[second[self.pair_order]]
 
+def _counted(table: pa.Table) -> pa.Table:
+    """All that one shard was sent of words: their counts."""
+    keys = [np.cumsum(_numbers(x, 8)) for x in table.column("keys").to_pylist()]
+    distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(of, np.concatenate([_grown(x) for x in table.column("counts").to_pylist()]), len(distinct)).astype(np.int64)
+    counts = [_shrunk(x, 6) for x in np.split(total[of], np.cumsum([len(k) for k in keys])[:-1])]
+    return pa.table([table.column("shard"), table.column("block"), counts, pa.nulls(len(counts), pa.binary()), [int((total > 0).sum())] + [0] * (len(counts) - 1)], schema=ANSWER)
 
-def _messages(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r in batch.to_pylist():
-            g = Grams(r["words"], r["tokens"], r["sizes"], r["held_out"], shards)
-            counts = np.bincount(g.tokens, g.train, len(g.words)).astype(np.int64)[g.word_order]
-            pairs = np.bincount(g.pair, g.train).astype(np.int64)[g.pair_order]
-            words = g.words[g.word_order]
-            out = []
-            for s in np.union1d(g.word_shard, g.pair_shard).tolist():
-                a, b = np.searchsorted(g.word_shard, [s, s + 1])
-                c, d = np.searchsorted(g.pair_shard, [s, s + 1])
-                firsts, at = np.unique(g.first[c:d], return_index=True)
-                # The first words and how many pairs each has, then the second words.
-                out.append((s, r["block"], _planes(words[a:b], WORD), _shrunk(counts[a:b]), _planes(firsts, WORD), _shrunk(np.diff(np.append(at, d - c))), _planes(g.second[c:d], NEXT), _shrunk(pairs[c:d])))
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), MESSAGE, strict=True)], schema=MESSAGE)
-
-
-def _coded(counts: np.ndarray) -> np.ndarray:
-    """The step nearest to each count, in logarithms above the exact ones."""
-    at = np.searchsorted(STEPS, counts)
-    low, high = np.maximum(at - 1, 0), np.minimum(at, len(STEPS) - 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        up = np.abs(np.log(STEPS[high] / counts)) <= np.abs(np.log(counts / STEPS[low]))
-    return np.where((STEPS[high] == counts) | up, high, low).astype(np.uint16)
-
-
-def _summed(keys: tuple[np.ndarray, ...], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct keys ascending, and their counts."""
-    order = np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
-    new = np.ones(len(order), bool)
-    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
-    at = np.flatnonzero(new)
-    return [k[at] for k in keys], np.add.reduceat(counts[order], at) if len(at) else np.zeros(0, counts.dtype)
-
-
-def _answers(table: pa.Table) -> pa.Table:
-    """All that one shard was sent: counts added up, the trie built and asked for each block's pairs."""
+
+def _answered(table: pa.Table, order: int, last: bool) -> pa.Table:
+    """All that one shard was sent of n-grams: counts added up, the trie built, and asked for each block's n-grams."""
     col = {n: table.column(n).to_pylist() for n in MESSAGE.names}
-    words, seconds = [_numbers(x, WORD) for x in col["words"]], [_numbers(x, NEXT) for x in col["seconds"]]
-    word_counts, pair_counts = ([_grown(x) for x in col[n]] for n in ("word_counts", "pair_counts"))
-    firsts = [np.repeat(_numbers(a, WORD), _grown(n)) for a, n in zip(col["firsts"], col["first_sizes"], strict=True)]
-    (known,), total = _summed((np.concatenate(words),), np.concatenate(word_counts))
-    (one, two), n = _summed((np.concatenate(firsts), np.concatenate(seconds)), np.concatenate(pair_counts))
-    seen = n > 0
-    with tempfile.TemporaryFile() as file:  # no name, and gone with the task
-        exact = n[seen].astype(np.min_scalar_type(int(n.max(initial=0))))
-        trie = Trie.build(one[seen], two[seen], exact, file, (1 << 8 * WORD, 1 << 8 * NEXT))
-        codes = [zlib.compress(_planes(trie.lookup(a, b), 8), 1) for a, b in zip(firsts, seconds, strict=True)]
-        del trie
-    counts = [zlib.compress(_planes(total[np.searchsorted(known, w)], 8), 1) for w in words]
-    types = [int((total > 0).sum())] + [0] * (len(codes) - 1)
-    return pa.table([col["shard"], col["block"], counts, codes, types], schema=ANSWER)
-
-
-def _scored(blocks: pa.Table, answers: pa.Table, shards: int, tokens: int, types: int, mu: float) -> pa.Table:
-    out = []
-    replies = answers.sort_by("shard")
-    none = [np.zeros(0, np.int64)]
-    counts = np.concatenate([_numbers(zlib.decompress(x), 8).astype(np.int64) for x in replies.column("counts").to_pylist()] or none)
-    found = np.concatenate([_numbers(zlib.decompress(x), 8).astype(np.int64) for x in replies.column("codes").to_pylist()] or none)
-    for r in blocks.to_pylist():
-        g = Grams(r["words"], r["tokens"], r["sizes"], r["held_out"], shards)
-        c, pair = np.empty(len(g.words), np.int64), np.empty(len(g.pair_order))
-        c[g.word_order], pair[g.pair_order] = counts, found
-        p = (c + 0.1) / (tokens + 0.1 * (types + 1))
-        both = (pair[g.pair] + mu * p[g.tokens]) / (c[g.before] + mu)
-        bounds = np.concatenate(([0], np.cumsum(g.sizes)))
-        add = lambda x: np.add.reduceat(x, bounds[:-1])
-        n = len(g.sizes)
-        out.append(pa.table([r["doc_ids"], r["held_out"], g.sizes, add((c > 0)[g.tokens].astype(np.int64)), np.full(n, tokens), add(np.log10(p)[g.tokens]), add(np.log10(both))], schema=SCORES))
-    return pa.concat_tables(out) if out else SCORES.empty_table()
-
-
-def score_lm(docs: DataFrame, mu: float = MU, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    keys, sizes = [np.cumsum(_numbers(x, 6)) for x in col["keys"]], [_grown(x) for x in col["sizes"]]
+    lengths = [int(z.sum()) for z in sizes]
+    seconds, low = (np.frombuffer(b"".join(col[n]), t) for n, t in (("seconds", np.uint32), ("low", np.uint8)))
+    contexts, of_group = np.unique(np.concatenate(keys), return_inverse=True)
+    seen = np.empty(len(contexts), np.int64)
+    seen[of_group] = np.concatenate([_grown(x, 6) for x in col["totals"]])
+    # Distinct n-grams as (context's number, second word), ascending.
+    grams, of = np.unique(np.repeat(of_group.astype(np.uint64), np.concatenate(sizes)) << np.uint64(32) | seconds, return_inverse=True)
+    n = np.bincount(of, np.concatenate([_grown(x) for x in col["counts"]]), len(grams))
+    low_of = np.empty(len(grams), np.uint8)
+    low_of[of] = low
+    context, second = (grams >> np.uint64(32)).astype(np.int64), (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    some = n > 0
+    c = seen[context[some]]
+    m = left(order, c)
+    p = (1 - m) * n[some] / np.maximum(c, 1) + m * _low_decoded(low_of[some])
+    trie = Trie.build(contexts[context[some]], second[some], coded(np.minimum(p, 1.0)), 1 << 48)
+    codes = trie.lookup(contexts, np.bincount(context, minlength=len(contexts)), second)
+    at = np.cumsum(lengths)[:-1]
+    counts = pa.nulls(len(lengths), pa.binary()) if last else [_shrunk(x, 6) for x in np.split(n.astype(np.int64)[of], at)]
+    return pa.table([col["shard"], col["block"], counts, [x.tobytes() for x in np.split(codes[of], at)], [0] * len(lengths)], schema=ANSWER)
+
+
+def _returned(block: Block, answers: pa.Table) -> tuple[np.ndarray | None, np.ndarray | None]:
+    """Counts and codes of a block's distinct n-grams, from the shards' answers."""
+    answers, order, out = answers.sort_by("shard"), block.laid_out()[0], []
+    for name, grown, kind in (("counts", lambda x: _grown(x, 6), np.int64), ("codes", lambda x: np.frombuffer(x, np.uint16), np.uint16)):
+        parts = [grown(x) for x in answers.column(name).to_pylist() if x is not None]
+        out.append(np.empty(len(order), kind) if parts else None)
+        if parts:
+            out[-1][order] = np.concatenate(parts)
+    return tuple(out)
+
+
+def _merged(blocks: pa.Table, answers: pa.Table, numbers: tuple) -> pa.Table:
+    """The block with the counts and codes that have come back."""
+    rows = []
+    for row in blocks.to_pylist():
+        block = Block(row, *numbers)
+        if row["counts"]:
+            block.longer()
+        counts, codes = _returned(block, answers)
+        row["counts"].append(_shrunk(counts, 6))
+        row["codes"] += [] if codes is None else [codes.tobytes()]
+        rows.append(tuple(row[n] for n in BLOCK.names))
+    return pa.Table.from_batches([_batch(rows, BLOCK)])
+
+
+def _scored(blocks: pa.Table, answers: pa.Table | None, numbers: tuple) -> pa.Table:
+    out = [SCORES.empty_table()]
+    for row in blocks.to_pylist():
+        block = Block(row, *numbers)
+        base, known = np.log10(block.p)[block.tokens] if not row["codes"] else None, block.known[block.tokens]
+        if base is None:
+            base = np.log10((_grown(row["counts"][0], 6) + 0.1) / (numbers[0] + 0.1 * (numbers[1] + 1)))[block.tokens]
+        score = base
+        if answers is not None:
+            block.longer()
+            block.learn(*_returned(block, answers))
+            score = np.log10(block.p)[block.of]
+        add = lambda x: np.add.reduceat(x, block.first)
+        out.append(pa.table([row["doc_ids"], row["held_out"], block.sizes, add(known.astype(np.int64)), np.full(len(block.sizes), numbers[0]), add(base), add(score)], schema=SCORES))
+    return pa.concat_tables(out)
+
+
+def score_lm(docs: DataFrame, order: int = ORDER, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS, salt_tokens: int = SALT_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     blocks = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda x: _blocks(x, block_tokens), ddl(BLOCK)), "blocks")
-    total = blocks.agg(F.sum("n_train").alias("n"), F.sum(F.octet_length("sizes")).alias("docs")).first()
-    tokens = total["n"] or 0
-    shards = max(1, -(-tokens // shard_tokens))
-    sent = blocks.drop("n_train").mapInArrow(lambda x: _messages(x, shards), ddl(MESSAGE))
-    answers = written(sent.groupBy("shard").applyInArrow(_answers, ddl(ANSWER)), "answers")
-    types = answers.agg(F.sum("types")).first()[0] or 0
-    both = blocks.groupBy("block").cogroup(answers.groupBy("block"))
-    return both.applyInArrow(lambda a, b: _scored(a, b, shards, tokens, types, mu), ddl(SCORES))
+    total = blocks.agg(F.sum("n_train").alias("n"), F.sum("n_docs").alias("docs")).first()
+    tokens, train_docs = total["n"] or 0, total["docs"] or 0
+    shards, numbers = max(1, -(-tokens // shard_tokens)), (tokens, 0, train_docs, salt_tokens)
+    for k in range(1, order + 1):
+        answers = written(blocks.mapInArrow(_sender(numbers, shards), ddl(MESSAGE)).groupBy("shard").applyInArrow(_answerer(k, k == order), ddl(ANSWER)), "answers")
+        if k == 1:
+            numbers = (tokens, answers.agg(F.sum("types")).first()[0] or 0, train_docs, salt_tokens)
+        both = blocks.groupBy("block").cogroup(answers.groupBy("block"))
+        if k < order:
+            merged = written(both.applyInArrow(_merger(numbers), ddl(BLOCK)), "blocks")
+            dropped(blocks, answers)
+            blocks = merged
+    return both.applyInArrow(_scorer(numbers, order), ddl(SCORES))
+
+
+# What runs on executors; each holds what it needs of the driver's values.
+
+
+def _sender(numbers: tuple, shards: int):
+    return lambda batches: _sent(batches, numbers, shards)
+
+
+def _answerer(order: int, last: bool):
+    return _counted if order == 1 else lambda table: _answered(table, order, last)
+
+
+def _merger(numbers: tuple):
+    return lambda blocks, answers: _merged(blocks, answers, numbers)
+
+
+def _scorer(numbers: tuple, order: int):
+    if order == 1:
+        return lambda blocks, answers: _scored(_merged(blocks, answers, numbers), None, numbers)
+    return lambda blocks, answers: _scored(blocks, answers, numbers)

@@ -1,5 +1,4 @@
 import hashlib
-import math
 import re
 import zlib
 from collections import Counter
@@ -10,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loomsql.llm import bagminhash, chat, decontaminate, htmltext, lm, media, mixing, quality, queries, scratch, toxicity, urlfilter
+from loomsql.llm import bagminhash, chat, decontaminate, htmltext, media, mixing, quality, queries, scratch, toxicity, urlfilter
 
 DATA = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -150,28 +149,6 @@ def test_classifiers_on_odd_rows(spark, odd):
         assert (toxicity.reject_toxic if kind is toxicity else quality.keep_good)(odd, model).columns == odd.columns
 
 
-def test_lm_against_brute_force(spark, odd):
-    out = lm.score_lm(odd, block_tokens=500, shard_tokens=300).collect()
-    tokens = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", lower(t)), "\n"]
-    ones, twos = Counter(), Counter()
-    for i, t, *_ in ODD:
-        if zlib.crc32(b"" if i is None else str(i).encode()) % 10:
-            ones.update(tokens(t))
-            twos.update(zip(["\n", *tokens(t)], tokens(t), strict=False))
-    n, v = sum(ones.values()), len(ones)
-    p = lambda w: (ones[w] + 0.1) / (n + 0.1 * (v + 1))
-    joint = lambda c: lm.STEPS[lm._coded(np.array([c]))[0]]
-    want = []
-    for i, t, *_ in ODD:
-        w = tokens(t)
-        model = sum(math.log10((joint(twos[h, x]) + lm.MU * p(x)) / (ones[h] + lm.MU)) for h, x in zip(["\n", *w], w, strict=False))
-        want.append((i or -1, len(w), sum(ones[x] > 0 for x in w), n, round(sum(math.log10(p(x)) for x in w), 6), round(model, 6)))
-    got = [(r["doc_id"] or -1, r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in out]
-    for one, two in zip(sorted(got), sorted(want), strict=True):
-        assert one == pytest.approx(two)
-    assert lm.score_lm(odd.limit(0)).collect() == []
-
-
 @pytest.mark.parametrize("targets", [{"source": {"a": 0.7, None: 0.3, 5: 1.0}, "lang": {"zz": 1.0}}, {"source": {"c": 1.0}, "lang": {None: 1.0}}, {"source": {"e": 1.0}}])
 def test_mixing_gives_the_same_by_frames(spark, targets):
     rows = [(i, "one two three" if s != "e" else "", s, g) for i, (s, g) in enumerate([(s, g) for s in ("a", "b", None, "e") for g in ("en", "de", None)] + [("c", "en")])]
@@ -189,15 +166,6 @@ def test_mixing_gives_the_same_by_frames(spark, targets):
         assert by["l", "en"] == pytest.approx(by["l", None])
 
 
-def test_lm_counts_of_frequent_pairs_are_exact(spark):
-    docs = spark.range(1, 1191).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text"))
-    n = sum(zlib.crc32(str(i).encode()) % 10 > 0 for i in range(1, 1191))
-    p = (n + 0.1) / (3 * n + 0.4)  # of each of x, y and the end, which follow one another n times
-    want = 3 * math.log10((n + lm.MU * p) / (n + lm.MU))
-    for size in (700, 10**6):
-        assert {round(r["score"], 9) for r in lm.score_lm(docs, block_tokens=size, shard_tokens=size).collect()} == {round(want, 9)}
-
-
 def test_decontamination_against_brute_force(spark, documents, odd):
     items = [(1, " ".join(f"wörd{i}" for i in range(100, 115))), (2, "Same WORDS, here"), (3, None), (4, ""), (None, "other"), (12, "same words here")]
     for docs, bench in ((documents, spark.read.parquet(f"{DATA}/benchmark.parquet")), (odd, spark.createDataFrame(items, "item_id long, text string"))):
