@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from loomsql.functions import keys
 from loomsql.functions import programs as P
 from loomsql.operators import dedup, splits, validate
 from loomsql.plans import corpus, program
+from loomsql.sources import export
 from loomsql.sources.schemas import FAMILIES, columns_frame, edges_frame
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,28 +223,104 @@ def hard_two_joins_having(spark, sf_dir):
     return out.where("sum_price > 10")
 
 
-# Programs as columns. The oracle assembles the same texts from the nation table.
+# Programs as columns: each nation takes the program of its key modulo their number, with its name and region in it. The
+# oracles start from texts and findings that are written out by hand.
+
+
+def _program(base, items, where, order, joins=(), group=(), having=(), schema="logistics_v1") -> dict:
+    """items: expression AS alias; joins: table, alias, ON expression. What has a bracket is an aggregate."""
+    ref = lambda t: dict(zip(("name", "alias"), t, strict=True))
+    one = lambda x: [{"expression": e} for e in x]
+    made = [{"expression": e, "alias": a, "is_aggregate": "(" in e} for e, a in (i.split(" AS ") for i in items)]
+    return {
+        "base_table": ref(base), "dialect": "ansi_like", "group_by": list(group), "having": one(having),
+        "joins": [{"join_type": "INNER JOIN", "on_expression": on, "right_table": ref((t, a))} for t, a, on in joins], "limit": "{limit}",
+        "metadata": {"complexity": "hard", "program_hash": "h", "schema_id": schema}, "order_by": [dict(zip(("expression", "direction"), order.split(), strict=True))],
+        "select_items": made, "template_id": "template_{name}", "where_predicates": one(where),
+    }
+
+
+_W, _S = ("warehouses", "t1"), ("shipments", "t2")
+_ON = "t2.warehouse_id = t1.warehouse_id"
+_PLAIN, _SUM = ["t1.region AS region", "t1.warehouse_id AS warehouse_id"], ["t1.region AS region", "SUM(t2.shipping_cost) AS sum_shipping_cost"]
+_NAMED = ["t1.region <> '{name}'"]
+
+
+def _joined(on: str, table: str = "shipments") -> dict:
+    return _program(_W, _SUM, _NAMED, "t1.region ASC", [(table, "t2", on)], ["t1.region"])
+
+
+_FROM_W = "SELECT t1.region AS region, t1.warehouse_id AS warehouse_id\nFROM warehouses AS t1\nWHERE t1.region <> '{name}'\n"
+_FROM_WS = "SELECT t1.region AS region, SUM(t2.shipping_cost) AS sum_shipping_cost\nFROM warehouses AS t1\nINNER JOIN shipments AS t2 ON t2.warehouse_id = t1.warehouse_id\nWHERE t1.region <> '{name}'\nGROUP BY t1.region\n"
+#: Program, its text, errors of resolution and of logic, and the stage at which it fails without a GROUP BY, and with an
+#: invalid join.
+_CASES = [
+    (_program(_W, _PLAIN, _NAMED, "t1.region DESC"), _FROM_W + "ORDER BY t1.region DESC\nLIMIT {limit}", [], [], "valid", "valid"),
+    (
+        _program(("shipments", "t1"), ["t1.ship_date AS ship_date", "SUM(t1.shipping_cost) AS sum_shipping_cost"], ["t1.shipping_cost IS NOT NULL", "t1.ship_date IS NOT NULL"], "SUM(t1.shipping_cost) DESC", group=["t1.ship_date"]),
+        "SELECT t1.ship_date AS ship_date, SUM(t1.shipping_cost) AS sum_shipping_cost\nFROM shipments AS t1\nWHERE t1.shipping_cost IS NOT NULL AND t1.ship_date IS NOT NULL\nGROUP BY t1.ship_date\nORDER BY SUM(t1.shipping_cost) DESC\nLIMIT {limit}", [], [], "logic", "valid",
+    ),
+    (_joined(_ON), _FROM_WS + "ORDER BY t1.region ASC\nLIMIT {limit}", [], [], "logic", "logic"),
+    (
+        _program(_W, _SUM, _NAMED, "t1.region ASC", [(*_S, _ON)], ["t1.region"], ["SUM(t2.shipping_cost) > 10"]),
+        _FROM_WS + "HAVING SUM(t2.shipping_cost) > 10\nORDER BY t1.region ASC\nLIMIT {limit}", [], [], "logic", "logic",
+    ),
+    (
+        _program(_W, ["t1.region AS region", "COUNT(t3.event_id) AS count_event_id"], ["t3.event_id IS NOT NULL"], "t1.region ASC", [(*_S, _ON), ("delivery_events", "t3", "t3.shipment_id = t2.shipment_id")], ["t1.region"]),
+        "SELECT t1.region AS region, COUNT(t3.event_id) AS count_event_id\nFROM warehouses AS t1\nINNER JOIN shipments AS t2 ON t2.warehouse_id = t1.warehouse_id\nINNER JOIN delivery_events AS t3 ON t3.shipment_id = t2.shipment_id\nWHERE t3.event_id IS NOT NULL\nGROUP BY t1.region\nORDER BY t1.region ASC\nLIMIT {limit}", [], [], "logic", "logic",
+    ),
+    (
+        _program(_W, ["t1.region AS region", "MAX(t1.warehouse_id) AS max_warehouse_id"], _NAMED, "t1.region ASC"),
+        "SELECT t1.region AS region, MAX(t1.warehouse_id) AS max_warehouse_id\nFROM warehouses AS t1\nWHERE t1.region <> '{name}'\nORDER BY t1.region ASC\nLIMIT {limit}", [], ["Aggregate without GROUP BY"], "logic", "logic",
+    ),
+    (_program(_W, _PLAIN, _NAMED, "t1.region DESC", having=["t1.warehouse_id > 5"]), _FROM_W + "HAVING t1.warehouse_id > 5\nORDER BY t1.region DESC\nLIMIT {limit}", [], ["HAVING without aggregate"], "logic", "logic"),
+    (_program(("depots", "t1"), _PLAIN, _NAMED, "t1.region DESC"), _FROM_W.replace("warehouses", "depots") + "ORDER BY t1.region DESC\nLIMIT {limit}", ["Unknown table: depots"], [], "resolve", "resolve"),
+    (_joined(_ON, "trucks"), _FROM_WS.replace("shipments", "trucks") + "ORDER BY t1.region ASC\nLIMIT {limit}", ["Unknown table: trucks"], [f"Not in the join graph: {_ON}"], "resolve", "resolve"),
+    (_program(("warehouses", ""), _PLAIN, _NAMED, "t1.region DESC"), _FROM_W.replace("AS t1", "AS ") + "ORDER BY t1.region DESC\nLIMIT {limit}", ["Missing alias of table: warehouses"], [], "parse", "parse"),
+    (
+        _program(_W, ["t1.nothing AS region", "t1.warehouse_id AS warehouse_id"], ["t1.nothing IS NOT NULL"], "t1.region DESC"),
+        "SELECT t1.nothing AS region, t1.warehouse_id AS warehouse_id\nFROM warehouses AS t1\nWHERE t1.nothing IS NOT NULL\nORDER BY t1.region DESC\nLIMIT {limit}", ["Unknown column: t1.nothing", "Unknown column: t1.nothing"], [], "resolve", "resolve",
+    ),
+    *[
+        (_joined(on), _FROM_WS.replace(_ON, on) + "ORDER BY t1.region ASC\nLIMIT {limit}", [], [f"{what}: {on}"], stage, "logic" if stage == "logic" else stage)
+        for on, what, stage in (
+            ("t2.warehouse_id >= t1.warehouse_id", "Not in the join graph", "logic"), ("t2.warehouse_id <> t1.warehouse_id", "Not an equality of two columns", "logic"),
+            ("t9.warehouse_id = t1.warehouse_id", "Unknown alias in join", "logic"), ("t2.carrier_id = t1.warehouse_id", "Not in the join graph", "logic"),
+        )
+    ],
+    (
+        _program(("departments", "t1"), ["t1.cost_center AS cost_center", "AVG(t2.department_id) AS avg_department_id"], ["t1.cost_center <> ''"], "t1.cost_center ASC", [("employees", "t2", "t2.department_id = t1.department_id")], ["t1.cost_center"], schema="hr_payroll_v1"),
+        "SELECT t1.cost_center AS cost_center, AVG(t2.department_id) AS avg_department_id\nFROM departments AS t1\nINNER JOIN employees AS t2 ON t2.department_id = t1.department_id\nWHERE t1.cost_center <> ''\nGROUP BY t1.cost_center\nORDER BY t1.cost_center ASC\nLIMIT {limit}", [], [], "logic", "resolve",
+    ),
+]
 
 
 def _programs(spark, sf_dir) -> DataFrame:
-    n = _table(spark, sf_dir, "nation")
-    item = lambda alias, expression, aggregate: F.struct(F.lit(alias).alias("alias"), F.lit(expression).alias("expression"), F.lit(aggregate).alias("is_aggregate"))
-    one = lambda c: F.array(F.struct(c.alias("expression")))
-    ref = lambda a, t: F.struct(F.lit(a).alias("alias"), F.lit(t).alias("name"))
-    p = F.struct(
-        ref("t1", "warehouses").alias("base_table"), F.lit("ansi_like").alias("dialect"), F.array(F.lit("t1.region")).alias("group_by"),
-        one(F.concat(F.lit("SUM(t2.shipping_cost) > "), F.col("n_nationkey").cast("string"))).alias("having"),
-        F.array(F.struct(F.lit("INNER JOIN").alias("join_type"), F.lit("t2.warehouse_id = t1.warehouse_id").alias("on_expression"), ref("t2", "shipments").alias("right_table"))).alias("joins"),
-        F.col("n_regionkey").alias("limit"), F.struct(F.lit("hard").alias("complexity"), F.lit("h").alias("program_hash"), F.lit("logistics_v1").alias("schema_id")).alias("metadata"),
-        F.array(F.struct(F.lit("ASC").alias("direction"), F.lit("t1.region").alias("expression"))).alias("order_by"),
-        F.array(item("region", "t1.region", False), item("sum_shipping_cost", "SUM(t2.shipping_cost)", True)).alias("select_items"),
-        F.concat(F.lit("template_"), F.col("n_name")).alias("template_id"), one(F.concat(F.lit("t1.region <> '"), F.col("n_name"), F.lit("'"))).alias("where_predicates"),
-    )
-    return n.select(F.col("n_nationkey").alias("n"), p.cast(program.PROGRAM).alias("program"))
+    cases = spark.createDataFrame([(i, json.dumps(c[0])) for i, c in enumerate(_CASES)], "v int, program string")
+    n = _table(spark, sf_dir, "nation").withColumn("v", F.col("n_nationkey") % len(_CASES))
+    filled = F.replace(F.replace(F.col("program"), F.lit('"{limit}"'), F.col("n_regionkey").cast("string")), F.lit("{name}"), F.col("n_name"))
+    return n.join(F.broadcast(cases), "v").select(F.col("n_nationkey").alias("n"), F.from_json(filled, program.PROGRAM).alias("program"))
+
+
+def _family(p):
+    return F.regexp_replace(p["metadata"]["schema_id"], "_v1$", "")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
 
+def _listed(values: list[str]) -> str:
+    return "[" + ", ".join(map(_quoted, values)) + "]::VARCHAR[]"
 
-def _text(items="t1.region AS region, SUM(t2.shipping_cost) AS sum_shipping_cost", on="t2.warehouse_id = t1.warehouse_id", group="GROUP BY t1.region' || chr(10) || '"):
-    return f"'SELECT {items}' || chr(10) || 'FROM warehouses AS t1' || chr(10) || 'INNER JOIN shipments AS t2 ON {on}' || chr(10) || 'WHERE t1.region <> ''' || n_name || '''' || chr(10) || '{group}HAVING SUM(t2.shipping_cost) > ' || n_nationkey || chr(10) || 'ORDER BY t1.region ASC' || chr(10) || 'LIMIT ' || n_regionkey"
+
+_P = "WITH c(v, t, resolve, logic, ungrouped, misjoined) AS (VALUES " + ", ".join(f"({i}, {_quoted(t)}, {_listed(r)}, {_listed(g)}, {_quoted(a)}, {_quoted(b)})" for i, (_, t, r, g, a, b) in enumerate(_CASES)) + f""")
+, p AS (SELECT n_nationkey AS n, v, replace(replace(t, '{{name}}', n_name), '{{limit}}', n_regionkey::VARCHAR) AS sql, resolve, logic, ungrouped, misjoined FROM nation JOIN c ON n_nationkey % {len(_CASES)} = v)
+"""
+_COMMA, _COLUMN = r"regexp_replace(sql, '^(SELECT [^,\n]*), ', '\1 ')", r"regexp_replace(sql, '^SELECT (\w+)\.\w+', 'SELECT \1.unknown_column')"
+_JOIN = r"regexp_replace(sql, ' ON [^\n]*', ' ON t1.warehouse_id = t2.' || CASE WHEN sql LIKE '%FROM departments%' THEN 't1_invalid' ELSE 'shipment_status' END)"
+_GROUP = r"regexp_replace(sql, '\nGROUP BY [^\n]*', '')"
+_CLAUSES = " || ' ' || ".join([*[rf"regexp_extract(sql, '(?:^|\n){w} ([^\n]*)', 1)" for w in ("SELECT", "WHERE")], r"array_to_string(regexp_extract_all(sql, ' ON ([^\n]*)', 1), ' ')", *[rf"regexp_extract(sql, '\n{w} ([^\n]*)', 1)" for w in ("GROUP BY", "HAVING", "ORDER BY")]])
 
 
 def _lowered(text: str) -> str:
@@ -251,7 +329,7 @@ def _lowered(text: str) -> str:
     return f"replace({text}, chr(10), '  ' || chr(10))"
 
 
-def _program_query(name: str, column, oracle: str | None, text=None):
+def _program_query(name: str, column, oracle: str, text=None):
     """text: of the program, what the column's second argument has the parse errors of."""
 
     def run(spark, sf_dir):
@@ -261,36 +339,35 @@ def _program_query(name: str, column, oracle: str | None, text=None):
         return rows.select("n", column(F.col("program"), *[F.col("parse_errors")] * bool(text)).alias("value"))
 
     run.__name__ = name
-    query(oracle and f"SELECT n_nationkey AS n, {oracle} AS value FROM nation")(run)
-
-
-_program_query("render_sql_text", P.render, _text())
-_program_query("noncanonical_text", P.noncanonical, _lowered(_text()))
-_program_query("canonical_alias_text", lambda p: P.render(P.canonical(p)), f"replace(replace(replace(replace({_text()}, 't1.', 's1.'), 't2.', 's2.'), 'AS t1', 'AS s1'), 'AS t2', 'AS s2')")
-_program_query("complexity_label", P.complexity, "'hard'")
-_program_query("corrupt_missing_comma", lambda p: P.corrupted_sql(p, "missing_comma", F.lit("logistics")), _text("t1.region AS region SUM(t2.shipping_cost) AS sum_shipping_cost"))
-_program_query("corrupt_unknown_column", lambda p: P.corrupted_sql(p, "unknown_column", F.lit("logistics")), _text("t1.unknown_column AS region, SUM(t2.shipping_cost) AS sum_shipping_cost"))
-_program_query("corrupt_invalid_join", lambda p: P.corrupted_sql(p, "invalid_join_condition", F.lit("logistics")), _text(on="t1.warehouse_id = t2.shipment_status"))
-_program_query("corrupt_missing_group_by", lambda p: P.corrupted_sql(p, "missing_group_by", F.lit("logistics")), _text(group=""))
-_program_query("column_refs", lambda p: F.array_join(F.transform(F.flatten(F.transform(P.expressions(p), P.column_refs)), lambda r: F.concat_ws(".", r["alias"], r["name"])), ","), "'t1.region,t2.shipping_cost,t1.region,t2.warehouse_id,t1.warehouse_id,t1.region,t2.shipping_cost,t1.region'")
-_program_query("resolve_errors", lambda p: F.array_join(P.resolve_errors(P.unknown_column(p), FAMILIES), ","), "'Unknown column: t1.unknown_column'")
-_program_query("logic_errors", lambda p: F.array_join(P.logic_errors(P.invalid_join_condition(P.missing_group_by(p), F.lit("logistics")), FAMILIES), ","), "'Aggregate without GROUP BY,Not in the join graph: t1.warehouse_id = t2.shipment_status'")
-_program_query("from_tables", lambda p: F.array_join(P.from_tables(p), ","), "'warehouses,shipments'")
+    query(f"{_P}SELECT n, {oracle} AS value FROM p")(run)
+
+
+_program_query("render_sql_text", P.render, "sql")
+_program_query("noncanonical_text", P.noncanonical, _lowered("sql"))
+_program_query("canonical_alias_text", lambda p: P.render(P.canonical(p)), "CASE WHEN v = 9 THEN replace(replace(sql, '.', 's1.'), 'AS ' || chr(10), 'AS s1' || chr(10)) ELSE replace(replace(replace(replace(replace(replace(sql, 't1.', 's1.'), 't2.', 's2.'), 't3.', 's3.'), 'AS t1', 'AS s1'), 'AS t2', 'AS s2'), 'AS t3', 'AS s3') END")
+_program_query("complexity_label", P.complexity, r"CASE WHEN sql LIKE '%HAVING%' OR len(regexp_extract_all(sql, 'INNER JOIN')) > 1 THEN 'hard' WHEN sql LIKE '%INNER JOIN%' OR sql LIKE '%GROUP BY%' OR regexp_matches(sql, '^SELECT[^\n]*\(') THEN 'medium' ELSE 'easy' END")
+_program_query("metric_parts", lambda p: P.metric_parts(F.get(p["select_items"], 1)["expression"])["argument"], r"nullif(regexp_extract(sql, '^SELECT [^\n]*\(([^)]*)\)', 1), '')")
+for _o, _text in (("missing_comma", _COMMA), ("unknown_column", _COLUMN), ("invalid_join_condition", _JOIN), ("missing_group_by", _GROUP)):
+    _program_query(f"corrupt_{_o.removesuffix('_condition')}", lambda p, o=_o: P.corrupted_sql(p, o, _family(p)), _text)
+_program_query("column_refs", lambda p: F.array_join(F.transform(F.flatten(F.transform(P.expressions(p), P.column_refs)), lambda r: F.concat_ws(".", r["alias"], r["name"])), ","), rf"array_to_string(list_filter(regexp_extract_all({_CLAUSES}, '[0-9A-Za-z_.]+'), lambda x: regexp_matches(x, '^[^.]+\.[^.]+$')), ',')")
+_program_query("resolve_errors", lambda p: F.array_join(P.resolve_errors(p, FAMILIES), ";"), "array_to_string(resolve, ';')")
+_program_query("logic_errors", lambda p: F.array_join(P.logic_errors(p, FAMILIES), ";"), "array_to_string(logic, ';')")
+_program_query("from_tables", lambda p: F.array_join(P.from_tables(p), ","), r"array_to_string(regexp_extract_all(sql, '(?:FROM|JOIN) (\w+)', 1), ',')")
 _program_query(
     "validation_report",
-    lambda p, e: F.to_json(P.validation_report(P.unknown_column(P.missing_group_by(p)), e, FAMILIES)),
-    """'{"is_valid":false,"stage_results":{"parse":true,"resolve":false,"logic":false},"errors":{"resolve":["Unknown column: t1.unknown_column"],"logic":["Aggregate without GROUP BY"]}}'""",
-    lambda p: P.render(P.unknown_column(P.missing_group_by(p))),
+    lambda p, e: F.to_json(F.struct(*[(r := P.validation_report(p, e, FAMILIES))[f].alias(f) for f in ("is_valid", "stage_results")], *[F.array_join(r["errors"][s], ";").alias(s) for s in ("resolve", "logic")])),
+    """'{"is_valid":' || (v <> 9 AND len(resolve || logic) = 0) || ',"stage_results":{"parse":' || (v <> 9) || ',"resolve":' || (len(resolve) = 0) || ',"logic":' || (len(logic) = 0) || '}' || CASE WHEN len(resolve) > 0 THEN ',"resolve":"' || array_to_string(resolve, ';') || '"' ELSE '' END || CASE WHEN len(logic) > 0 THEN ',"logic":"' || array_to_string(logic, ';') || '"' ELSE '' END || '}'""",
+    P.render,
 )
-for _o, (_, _stage, _) in P.CORRUPTIONS.items():
-    _program_query(f"failure_stage_{_o}", lambda p, e, o=_o: P.failure_stage(F.size(e) == 0, P.corrupted(p, o, F.lit("logistics")), FAMILIES), f"'{_stage}'", lambda p, o=_o: P.corrupted_sql(p, o, F.lit("logistics")))
+for _o, _stage in (("missing_comma", "'parse'"), ("unknown_column", "CASE WHEN v = 9 THEN 'parse' ELSE 'resolve' END"), ("invalid_join_condition", "misjoined"), ("missing_group_by", "ungrouped")):
+    _program_query(f"failure_stage_{_o}", lambda p, e, o=_o: P.failure_stage(F.size(e) == 0, P.corrupted(p, o, _family(p)), FAMILIES), _stage, lambda p, o=_o: P.corrupted_sql(p, o, _family(p)))
 
 
-@query(f"SELECT n_nationkey AS n, kind, json_serialize_sql(sql)->>'error' = 'false' AS parses FROM (SELECT n_nationkey, unnest(['clean', 'missing_comma', 'lower case', 'no columns']) AS kind, unnest([{_text()}, {_text('t1.region AS region SUM(t2.shipping_cost) AS sum_shipping_cost')}, {_lowered(_text())}, 'SELECT FROM']) AS sql FROM nation)")
+@query(f"{_P}SELECT n, kind, json_serialize_sql(text)->>'error' = 'false' AS parses FROM (SELECT n, unnest(['clean', 'missing_comma', 'lower case', 'no columns', 'blank']) AS kind, unnest([sql, {_COMMA}, {_lowered('sql')}, 'SELECT FROM', ' ']) AS text FROM p WHERE v <> 9) WHERE text <> ' ' UNION ALL SELECT n, 'blank', false FROM p WHERE v <> 9")
 def parse_validity(spark, sf_dir):
     p = F.col("program")
-    kinds = {"clean": P.render(p), "missing_comma": P.corrupted_sql(p, "missing_comma", F.lit("logistics")), "lower case": P.noncanonical(p), "no columns": F.lit("SELECT FROM")}
-    texts = _programs(spark, sf_dir).select("n", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), t.alias("text")) for k, t in kinds.items()])))
+    kinds = {"clean": P.render(p), "missing_comma": P.corrupted_sql(p, "missing_comma", F.lit("logistics")), "lower case": P.noncanonical(p), "no columns": F.lit("SELECT FROM"), "blank": F.lit(" ")}
+    texts = _programs(spark, sf_dir).where(F.col("program.base_table.alias") != "").select("n", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), t.alias("text")) for k, t in kinds.items()])))
     return validate.with_parse_errors(texts, "text").select("n", "kind", (F.size("parse_errors") == 0).alias("parses"))
 
 
@@ -309,6 +386,31 @@ def corpus_rows(spark, sf_dir):
     return corpus.build(spark, corpus.RELEASE, FAMILIES)[0].select(*corpus.FIELDS)
 
 
-@query("SELECT doc_id, '{\"doc_id\":' || doc_id || ',\"lang\":\"' || lang || '\",\"source\":\"' || source || '\"}' AS line FROM documents")
+#: Of the release's rows by task and schema family their number, and the SHA-256 of their ids, splits, texts and
+#: hashes; computed by plain Python over lists (tests/plain_corpus.py). The numbers by task are the published ones.
+DIGESTS = [
+    ("canonicalization", "hr_payroll", 220, "ec662ad2869f6bb3a51e81e3d7f734d3d95474f14f7da58c451cfa6497f0c319"),
+    ("canonicalization", "logistics", 136, "f5ac8489cea1d92f38210c1d21e96b1b9f2bf1f88951eb2d4f57f1e6015b9a9a"),
+    ("canonicalization", "retail_sales", 209, "39e4c9c4cb892b8299c3d373de016fd85e97c27f7f3cea141392d2843dbedb76"),
+    ("generate_clean_query", "hr_payroll", 121, "33dca92d181c83056eb8403425b412d1c69d20840161f4990fc6dea204f82f61"),
+    ("generate_clean_query", "logistics", 395, "8fec73ae95c724be0ad7a94a964dcaa99f9befb920c093a59e2fe2fb4246c253"),
+    ("generate_clean_query", "retail_sales", 107, "c505bce275909beff0b7b5485cd86f842b499191701365b9919eb3976c6b4fe9"),
+    ("repair", "hr_payroll", 432, "49a3a48ccffdd9b41d8aa0d99ea7c1d9dd1b11f34bd1e3e8ec7500382dd6dbd4"),
+    ("repair", "logistics", 601, "93ce944865f1aff94671d27bd6d6725f604ea99fef189dc5285fae1f1ee26735"),
+    ("repair", "retail_sales", 279, "dd0faa56b04ae1b7c4b7b3fd1e98c822b76c2f4fb58d774b715d27066f0f6d08"),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{f}', {n}::BIGINT, '{d}')" for t, f, n, d in DIGESTS) + ") v(task, schema_family, n_rows, rows_sha256)")
+def corpus_digest(spark, sf_dir):
+    """Of the release configuration, whose target bounds the rows of a group."""
+    line = F.concat_ws("|", "id", "split", "source_sql", F.coalesce("target_sql", F.lit("")), "source_ast_hash", F.coalesce("target_ast_hash", F.lit("")), "semantic_hash")
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", line.alias("line")))), lambda x: x["line"]), "\n")
+    return corpus_rows(spark, sf_dir).groupBy("task", "schema_family").agg(F.count("*").alias("n_rows"), F.sha2(lines, 256).alias("rows_sha256"))
+
+
+@query("SELECT doc_id, '{\"doc_id\": ' || doc_id || ', \"lang\": \"' || lang || '\", \"source\": \"' || source || '\"}' AS line FROM documents")
 def jsonl_records(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct("doc_id", "lang", "source")).alias("line"))
+    """The lines that the JSONL sink writes."""
+    rows = export.json_lines(_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.col("doc_id").alias("pos")), "pos")
+    return rows.select(F.get_json_object("line", "$.doc_id").cast("long").alias("doc_id"), "line")

@@ -1,8 +1,7 @@
 """Hash, id and bucket columns.
 
-A stable hash is the SHA-256 of a struct's JSON with sorted keys, nulls kept. Column structs must name their fields in
-alphabetical order at each level. `stable_hash_py` is the same over Python values; both escape like `json.dumps` for
-ASCII text, which is what identifiers and generated SQL consist of.
+A stable hash is the SHA-256 of a struct's JSON with sorted keys, nulls kept, in ASCII. Column structs must name their
+fields in alphabetical order at each level. `stable_hash_py` is the same over Python values.
 """
 
 from __future__ import annotations
@@ -18,9 +17,26 @@ def stable_hash_py(value) -> str:
     return hashlib.sha256(json.dumps(value, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
+def ascii_json(value: Column) -> Column:
+    """A struct's JSON as Python's json.dumps writes it: nulls kept, what isn't printable ASCII as \\u and four hex digits in
+    lower case. Texts of printable ASCII, the usual case, are only looked at."""
+
+    def spelt(text: Column) -> Column:
+        lower = text
+        for digit in "ABCDEF":  # of control characters, which to_json writes in upper case
+            lower = F.regexp_replace(lower, rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}", rf"$1{digit.lower()}")
+        code = lambda c: F.lower(F.hex(F.encode(c, "UTF-16BE")))
+        wide = lambda c: F.concat(F.lit("\\u"), F.substring(code(c), 1, 4), F.when(F.length(code(c)) > 4, F.concat(F.lit("\\u"), F.substring(code(c), 5, 4))).otherwise(""))
+        letters = F.transform(F.regexp_extract_all(lower, F.lit("(?s)."), 0), lambda c: F.when(c.rlike("[ -~]"), c).otherwise(wide(c)))
+        return F.when(text.rlike(r"[^ -~]|\\u00"), F.array_join(letters, "")).otherwise(text)
+
+    # Bound by transform, so that the struct's expression stands in the plan once.
+    return F.element_at(F.transform(F.array(F.to_json(value, {"ignoreNullFields": "false"})), spelt), 1)
+
+
 def stable_hash(**fields: Column) -> Column:
     ordered = F.struct(*[fields[k].alias(k) for k in sorted(fields)])
-    return F.sha2(F.to_json(ordered, {"ignoreNullFields": "false"}), 256)
+    return F.sha2(ascii_json(ordered), 256)
 
 
 def row_id(namespace: Column, family: Column, number: Column) -> Column:
@@ -40,6 +56,11 @@ def template_family_key(schema_family: str = "schema_family", template_id: str =
     return stable_hash(schema_family=F.col(schema_family), template_id=F.col(template_id))
 
 
+def same_template_family(one: str, two: str) -> Column:
+    """Whether two rows, given as struct columns, are of one template family."""
+    return template_family_key(f"{one}.schema_family", f"{one}.template_id") == template_family_key(f"{two}.schema_family", f"{two}.template_id")
+
+
 def semantic_hash(schema_id: Column, template_id: Column, task: Column, program_hash: Column) -> Column:
     return stable_hash(program_hash=program_hash, schema_id=schema_id, task=task, template_id=template_id)
 

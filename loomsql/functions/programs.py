@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomsql.functions.keys import ascii_json
 from loomsql.sources.schemas import Schema
 
 #: Corruption operators with family, stage at which they must fail, and error tag.
@@ -16,13 +17,8 @@ CORRUPTIONS = {
     "invalid_join_condition": ("logic-breaking", "logic", "invalid_join_condition"),
     "missing_group_by": ("logic-breaking", "logic", "group_by_missing"),
 }
-#: Rules of canonicalization, in the order in which they are reported, with family and description.
-RULES = {
-    "deterministic_aliases": ("structural", "Rename table aliases to deterministic canonical names."),
-    "keyword_casing": ("surface", "Render SQL keywords in uppercase."),
-    "deterministic_spacing": ("surface", "Render clauses with deterministic line breaks and spacing."),
-    "explicit_order_direction": ("surface", "Render ORDER BY items with explicit direction tokens."),
-}
+#: Rules of canonicalization, in the order in which they are reported, with their families.
+RULES = {"deterministic_aliases": "structural", "keyword_casing": "surface", "deterministic_spacing": "surface", "explicit_order_direction": "surface"}
 #: Keywords that the non-canonical rendering writes in lower case, in this order.
 LOWERED = ["SELECT", "FROM", "INNER JOIN", "WHERE", "GROUP BY", "HAVING", "ORDER BY", "LIMIT", " AS ", " ASC"]
 
@@ -60,7 +56,7 @@ def complexity(p: Column) -> Column:
 
 
 def program_hash(p: Column) -> Column:
-    return F.sha2(F.to_json(p, {"ignoreNullFields": "false"}), 256)
+    return F.sha2(ascii_json(p), 256)
 
 
 def unknown_column(p: Column) -> Column:
@@ -84,6 +80,17 @@ def corrupted(p: Column, operator: str, family: Column) -> Column:
     return {"missing_comma": lambda: p, "unknown_column": lambda: unknown_column(p), "invalid_join_condition": lambda: invalid_join_condition(p, family), "missing_group_by": lambda: missing_group_by(p)}[operator]()
 
 
+def recipe_id(*operators: Column) -> Column:
+    """Of operators that are applied one after the other."""
+    return F.concat_ws("+", *operators)
+
+
+def metric_parts(expression: Column) -> Column:
+    """The function and the argument of an aggregate's text; null for another expression."""
+    parts = F.struct(F.substring_index(expression, "(", 1).alias("function"), F.regexp_extract(expression, r"(?s)^[^(]*\((.*)\)$", 1).alias("argument"))
+    return F.when(expression.rlike(r"(?s)^[^(]*\(.*\)$"), parts)
+
+
 def applies(p: Column, operator: str) -> Column:
     return {"missing_comma": F.size(p["select_items"]) >= 2, "unknown_column": F.lit(True), "invalid_join_condition": F.size(p["joins"]) > 0, "missing_group_by": F.size(p["group_by"]) > 0}[operator]
 
@@ -174,7 +181,7 @@ def logic_errors(p: Column, schemas: list[Schema]) -> Column:
     def check(j: Column) -> Column:
         on = j["on_expression"]
         sides = F.transform(F.split(on, "=", 2), lambda s: F.trim(s))
-        equal = F.forall(sides, lambda s: s.rlike(r"^[^.]*\.[^.]*$")) & (F.size(sides) == 2)
+        equal = F.forall(sides, lambda s: s.rlike(r"^[^.]+\.[^.]+$")) & (F.size(sides) == 2)
         named = F.transform(sides, lambda s: end(F.get(F.filter(refs, lambda t: t["alias"] == F.substring_index(s, ".", 1)), 0)["name"], F.substring_index(s, ".", -1)))
         unknown = ~F.forall(sides, lambda s: F.exists(refs, lambda t: t["alias"] == F.substring_index(s, ".", 1)))
         return (

@@ -6,10 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with underscores until no column has it in upper or lower case."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def keep_first(df: DataFrame, key: Column, order: str) -> DataFrame:
     """The first row of each key. One shuffle by key; Spark limits groups before it (WindowGroupLimit)."""
-    w = Window.partitionBy("_key").orderBy(order)
-    return df.withColumn("_key", key).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_key", "_n")
+    k, n = fresh(df, "key"), fresh(df, "rank")
+    w = Window.partitionBy(k).orderBy(order)
+    return df.withColumn(k, key).withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(k, n)
 
 
 def keep_first_stats(df: DataFrame, key: Column) -> DataFrame:
@@ -29,11 +37,12 @@ def group_counts(df: DataFrame, group: str) -> DataFrame:
 def cap_variants(df: DataFrame, group: Column, variant: Column, fallback: Column, order: str, most: int) -> DataFrame:
     """Per group the first row of each variant (the fallback where it is null or empty), then the first `most` of those,
     with their rank: groups in first-seen order, rows in order inside."""
-    named = df.withColumn("_g", group).withColumn("_v", F.when(F.coalesce(variant, F.lit("")) == "", fallback).otherwise(variant))
-    first = named.withColumn("_n", F.row_number().over(Window.partitionBy("_g", "_v").orderBy(order))).where("_n = 1")
-    of_group = Window.partitionBy("_g").orderBy(order)
-    capped = first.withColumn("_n", F.row_number().over(of_group)).withColumn("group_first", F.first(order).over(of_group))
-    return capped.where(F.col("_n") <= most).drop("_g", "_v", "_n")
+    g, v, n = fresh(df, "group"), fresh(df, "variant"), fresh(df, "rank")
+    named = df.withColumn(g, group).withColumn(v, F.when(F.coalesce(variant, F.lit("")) == "", fallback).otherwise(variant))
+    first = named.withColumn(n, F.row_number().over(Window.partitionBy(g, v).orderBy(order))).where(F.col(n) == 1)
+    # Ranked and cut first, so that Spark limits each group before it is sorted; its first row is always among the rest.
+    capped = first.withColumn(n, F.row_number().over(Window.partitionBy(g).orderBy(order))).where(F.col(n) <= most)
+    return capped.withColumn("group_first", F.min(order).over(Window.partitionBy(g))).drop(g, v, n)
 
 
 def truncate(df: DataFrame, rows: int, *order: str) -> DataFrame:

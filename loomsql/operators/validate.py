@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
+#: Texts that are parsed at a time.
+THREADS = 8
 _RESERVED = "spark.sql.ansi.enforceReservedKeywords"
 
 
 def parse_all(spark: SparkSession, texts: list[str | None]) -> list[str]:
     """The error of each text, empty for one that parses. Reserved words are enforced meanwhile, so that SELECT FROM is no
     query."""
-    parser, before, out = spark._jsparkSession.sessionState().sqlParser(), spark.conf.get(_RESERVED), []
+    session, before = spark._jsparkSession, spark.conf.get(_RESERVED)
+    parser = session.sessionState().sqlParser()
+
+    def begun() -> None:
+        spark._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(session)
+
+    def parsed(sql: str | None) -> str:
+        if not (sql or "").strip():
+            return "SQL is blank"
+        try:
+            parser.parsePlan(sql)  # names are resolved elsewhere
+        except ParseException as e:
+            return str(e).strip().split("\n")[0]
+        return ""
+
     spark.conf.set(_RESERVED, "true")
     try:
-        for sql in texts:
-            error = "" if (sql or "").strip() else "SQL is blank"
-            try:
-                _ = error or parser.parsePlan(sql)  # names are resolved elsewhere
-            except ParseException as e:
-                error = str(e).strip().split("\n")[0]
-            out.append(error)
+        with ThreadPoolExecutor(THREADS, initializer=begun) as pool:
+            return list(pool.map(parsed, texts))
     finally:
         spark.conf.set(_RESERVED, before)
-    return out
 
 
 def parse_sql(spark: SparkSession, sql: str) -> tuple[bool, str]:

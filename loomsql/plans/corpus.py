@@ -20,7 +20,8 @@ TASKS = {"clean": ("sqlclean", "generate_clean_query", "clean"), "corrupt": ("sq
 
 def schedule(found: list, operators: list[str], targets: dict[str, int], most: int) -> list[tuple]:
     """(attempt, task, number, operator) by an ordered fold over (attempt, valid, eligible operators): each valid attempt
-    goes to the task that is least filled for its target; an operator that doesn't fit leaves its task waiting."""
+    goes to the task that is least filled for its target; an operator that doesn't fit leaves its task waiting. Numbers
+    count from 1 in each task."""
     done, out = dict.fromkeys(TASKS, 0), []
     for attempt, valid, eligible in found:
         if len(out) >= most:
@@ -30,8 +31,8 @@ def schedule(found: list, operators: list[str], targets: dict[str, int], most: i
         task = min(TASKS, key=lambda t: done[t] / max(targets.get(t, 0), 1))
         operator = operators[done["corrupt"] % len(operators)] if task == "corrupt" else None
         if operator is None or operator in eligible:
-            out.append((attempt, task, done[task], operator))
             done[task] += 1
+            out.append((attempt, task, done[task], operator))
     return out
 
 
@@ -42,7 +43,7 @@ def _chosen(operator: Column, values: dict) -> Column:
     return found
 
 
-def rows(decided: DataFrame) -> DataFrame:
+def rows(decided: DataFrame, families: list[schemas.Schema]) -> DataFrame:
     """Records, with `pos`, from attempt, schema_family, program, task_kind, number, operator."""
     p, family, kind, operator = F.col("program"), F.col("schema_family"), F.col("task_kind"), F.col("operator")
     is_ = lambda k: kind == k
@@ -66,14 +67,14 @@ def rows(decided: DataFrame) -> DataFrame:
         "template_id": p["template_id"],
         "source_ast_hash": F.when(is_("corrupt"), broken).otherwise(own),
         "semantic_hash": keys.semantic_hash(p["metadata"]["schema_id"], p["template_id"], label(2), own),
-        "provenance": F.lit("manual_config_v1"),
+        "provenance": F.element_at(F.create_map(*[F.lit(x) for s in families for x in (s.schema_id, s.provenance)]), p["metadata"]["schema_id"]),
         "split": F.lit("train"),
         "target_sql": F.when(is_("corrupt"), target).when(is_("normalize"), P.render(canonical)),
         "error_tags": F.coalesce(_chosen(operator, {o: F.array(F.lit(v[2])) for o, v in P.CORRUPTIONS.items()}), none),
         "normalization_rules": F.when(is_("normalize"), F.array(*[F.lit(r) for r in P.RULES])).otherwise(none),
         "num_joins": F.size(p["joins"]),
         "nesting_depth": F.lit(0),
-        "corruption_recipe_id": operator,
+        "corruption_recipe_id": F.when(operator.isNotNull(), P.recipe_id(operator)),
         "target_ast_hash": F.when(is_("corrupt"), own).when(is_("normalize"), P.program_hash(canonical)),
         "ambiguity_flag": F.lit(False),
         "render_variant_id": F.when(is_("clean"), "canonical").when(is_("corrupt"), operator).otherwise("normalized"),
@@ -102,7 +103,7 @@ def build(spark: SparkSession, config: dict, families: list[schemas.Schema] | No
     found = tried.groupBy("attempt").agg(F.bool_or(F.col("operator").isNull() & good).alias("valid"), F.collect_list(F.when(good, F.col("operator"))).alias("eligible")).orderBy("attempt").collect()
     plan = schedule([tuple(r) for r in found], operators, g["task_targets"], candidates)
     decided = made.join(spark.createDataFrame(plan, "attempt long, task_kind string, number int, operator string"), "attempt")
-    records = rows(decided).persist()
+    records = rows(decided, families).persist()
     kept = dedup.keep_first(records, keys.exact_row_key(), "pos").persist()
     capped = dedup.cap_variants(kept, F.col("semantic_hash"), F.col("render_variant_id"), keys.exact_row_key(), "pos", int(g.get("max_render_variants_per_semantic_group", 2))).persist()
     n, n_kept, n_capped = records.count(), kept.count(), capped.count()

@@ -4,19 +4,45 @@ from __future__ import annotations
 
 import json
 import shutil
+from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row
 
 
 def write_jsonl(df: DataFrame, path: str | Path, order: str) -> Path:
     """One file of one JSON object per line, sorted keys, in order; rows stream through the driver a partition at a time.
-    For data that is too large for one file use write_parquet()."""
+    For data that is too large for one file, or storage that only Spark writes to, use write_jsonl_folder() or
+    write_parquet()."""
     path = Path(path)
     path.parent.mkdir(parents=True, exist_ok=True)
     with path.open("w", encoding="utf-8") as file:
         for row in df.orderBy(order).drop(order).toLocalIterator():
-            file.write(json.dumps(row.asDict(recursive=True), sort_keys=True) + "\n")
+            file.write(_line(row) + "\n")
+    return path
+
+
+def _line(row: Row | dict) -> str:
+    return json.dumps(row.asDict(recursive=True) if isinstance(row, Row) else row, sort_keys=True)
+
+
+def json_lines(df: DataFrame, order: str) -> DataFrame:
+    """line: each row without `order` as write_jsonl() writes it, made on executors in Arrow batches."""
+    maps = {f.name for f in df.schema.fields if f.dataType.typeName() == "map"}
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [_line({k: dict(v) if k in maps and v is not None else v for k, v in r.items() if k != order}) for r in batch.to_pylist()]
+            yield pa.RecordBatch.from_pydict({"line": pa.array(rows, pa.string())})
+
+    return df.mapInArrow(lines, "line string")
+
+
+def write_jsonl_folder(df: DataFrame, path: str, order: str, parts: int | None = None) -> str:
+    """A folder of text parts on any file system of Spark's; the rows of the parts, by name, are in order."""
+    ordered = df.repartitionByRange(parts, order) if parts else df.repartitionByRange(order)
+    json_lines(ordered.sortWithinPartitions(order), order).write.mode("overwrite").text(path)
     return path
 
 

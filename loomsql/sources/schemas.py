@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import pkgutil
 from dataclasses import asdict, dataclass, field
 from pathlib import Path
 
@@ -73,10 +74,14 @@ def from_dict(said: dict) -> Schema:
     return Schema(said["schema_family"], said["version"], tuple(tables), said.get("description", ""), tuple(said.get("seed_hints", [])))
 
 
-def read_yaml(path: str | Path) -> dict:
+def parse_yaml(text: str) -> dict:
     import yaml
 
-    return yaml.safe_load(Path(path).read_text())
+    return yaml.safe_load(text)
+
+
+def read_yaml(path: str | Path) -> dict:
+    return parse_yaml(Path(path).read_text())
 
 
 def load_schema(path: str | Path) -> Schema:
@@ -115,33 +120,5 @@ def register_empty_views(spark: SparkSession, schema: Schema) -> None:
         spark.createDataFrame([], ", ".join(f"{c.name} {TYPES[c.data_type]}" for c in t.columns)).createOrReplaceTempView(t.name)
 
 
-def _table(name: str, columns: str, keys: str = "") -> Table:
-    made = []
-    fks = tuple(ForeignKey(*k.split(".")) for k in keys.split())
-    for i, c in enumerate(columns.split()):
-        n, kind = c.split(":")
-        made.append(Column(n, kind, value_strategy="sequential_id" if not i else "foreign_key" if n in {k.column for k in fks} else ""))
-    return Table(name, made[0].name, tuple(made), fks)
-
-
-#: Three schema families (the first column is the primary key; keys: column.table.column).
-FAMILIES = [
-    Schema("retail_sales", "v1", (
-        _table("customers", "customer_id:integer customer_name:text segment:text signup_date:date"),
-        _table("orders", "order_id:integer customer_id:integer order_date:date order_total:decimal status:text", "customer_id.customers.customer_id"),
-        _table("payments", "payment_id:integer order_id:integer payment_method:text payment_amount:decimal payment_status:text", "order_id.orders.order_id"),
-        _table("products", "product_id:integer product_name:text category:text unit_price:decimal"),
-    )),
-    Schema("hr_payroll", "v1", (
-        _table("departments", "department_id:integer department_name:text cost_center:text"),
-        _table("employees", "employee_id:integer department_id:integer employee_name:text hire_date:date employment_status:text", "department_id.departments.department_id"),
-        _table("salaries", "salary_id:integer employee_id:integer base_salary:decimal effective_date:date", "employee_id.employees.employee_id"),
-        _table("payroll_runs", "payroll_id:integer employee_id:integer pay_period:text net_pay:decimal payroll_status:text", "employee_id.employees.employee_id"),
-    )),
-    Schema("logistics", "v1", (
-        _table("warehouses", "warehouse_id:integer warehouse_name:text region:text"),
-        _table("carriers", "carrier_id:integer carrier_name:text service_level:text"),
-        _table("shipments", "shipment_id:integer warehouse_id:integer carrier_id:integer ship_date:date promised_date:date shipping_cost:decimal shipment_status:text", "warehouse_id.warehouses.warehouse_id carrier_id.carriers.carrier_id"),
-        _table("delivery_events", "event_id:integer shipment_id:integer event_type:text event_timestamp:timestamp", "shipment_id.shipments.shipment_id"),
-    )),
-]
+#: The schema families that come with the package.
+FAMILIES = [from_dict(parse_yaml(pkgutil.get_data("loomsql", f"families/{name}.yaml").decode())) for name in ("retail_sales", "hr_payroll", "logistics")]
