@@ -89,18 +89,24 @@ def build(spark: SparkSession, config: dict, families: list[schemas.Schema] | No
     g, s = config["generation"], config["splits"]
     target, operators = int(g["target_total_rows"]), g["corruption_operators"]
     candidates = target * max(int(g.get("oversample_factor", 4)), 1)
-    made = program.attempts(spark, families, g["complexities"], g["templates"], int(g.get("seed_start", 0)), int(g.get("max_attempts", target * 20)))
+    made = program.attempts(spark, families, g["complexities"], g["templates"], int(g.get("seed_start", 0)), int(g.get("max_attempts", target * 20))).persist()
     p, family = F.col("program"), F.col("schema_family")
+    # Checks don't look at the template, and few programs differ otherwise: each shape is checked once.
+    shape = p.withField("template_id", F.lit("")).withField("metadata", p["metadata"].withField("program_hash", F.lit("")))
+    shaped = made.select("attempt", "schema_family", shape.alias("program"), F.sha2(F.to_json(F.struct("schema_family", shape.alias("p"))), 256).alias("shape"))
+    shapes = shaped.groupBy("shape").agg(F.any_value("schema_family").alias("schema_family"), F.any_value("program").alias("program"))
     valid = (F.size(P.resolve_errors(p, families)) == 0) & (F.size(P.logic_errors(p, families)) == 0)
     # The clean text (operator null) and each corrupted one; whether it is as it should be if it parses, and if it doesn't.
     texts = [F.struct(F.lit(None).cast("string").alias("operator"), P.render(p).alias("text"), valid.alias("parsed"), F.lit(False).alias("unparsed"))]
     for o in operators:
-        ends = [F.coalesce(P.applies(p, o) & (P.failure_stage(F.lit(ok), P.corrupted(p, o, family), families) == P.CORRUPTIONS[o][1]), F.lit(False)) for ok in (True, False)]
-        texts.append(F.struct(F.lit(o).alias("operator"), P.corrupted_sql(p, o, family).alias("text"), ends[0].alias("parsed"), ends[1].alias("unparsed")))
-    tried = validate.with_parse_errors(made.select("attempt", F.inline(F.array(*texts))).where("operator IS NULL OR parsed OR unparsed"), "text")
+        fits, stage = F.coalesce(P.applies(p, o), F.lit(False)), P.CORRUPTIONS[o][1]
+        parsed = F.lit(False) if stage == "parse" else fits & (P.failure_stage(F.lit(True), P.corrupted(p, o, family), families) == stage)
+        texts.append(F.struct(F.lit(o).alias("operator"), P.corrupted_sql(p, o, family).alias("text"), parsed.alias("parsed"), (fits if stage == "parse" else F.lit(False)).alias("unparsed")))
+    tried = validate.with_parse_errors(shapes.select("shape", F.inline(F.array(*texts))).where("operator IS NULL OR parsed OR unparsed").persist(), "text", by_shape=True)
     good = F.when(F.size("parse_errors") == 0, F.col("parsed")).otherwise(F.col("unparsed"))
+    judged = tried.groupBy("shape").agg(F.bool_or(F.col("operator").isNull() & good).alias("valid"), F.collect_list(F.when(good, F.col("operator"))).alias("eligible"))
     # At most max_attempts small tuples, a setting of the config: scheduling is a fold over them and needs no more.
-    found = tried.groupBy("attempt").agg(F.bool_or(F.col("operator").isNull() & good).alias("valid"), F.collect_list(F.when(good, F.col("operator"))).alias("eligible")).orderBy("attempt").collect()
+    found = shaped.select("attempt", "shape").join(judged, "shape").select("attempt", "valid", "eligible").orderBy("attempt").collect()
     plan = schedule([tuple(r) for r in found], operators, g["task_targets"], candidates)
     decided = made.join(spark.createDataFrame(plan, "attempt long, task_kind string, number int, operator string"), "attempt")
     records = rows(decided, families).persist()
@@ -118,15 +124,17 @@ def build(spark: SparkSession, config: dict, families: list[schemas.Schema] | No
         hard_complexity_to_ood=bool(s.get("hard_complexity_to_ood", False)), in_domain_eval_ratio=float(s.get("in_domain_eval_ratio", 0.2)),
     ).withColumn("position", F.struct("family_first", "rank")).persist()
     pairs = lambda df: {r[0]: r[1] for r in df.collect()}
-    shared = pairs(splits.leakage_counts(done))
+    shared, split_counts = pairs(splits.leakage_counts(done)), pairs(splits.split_counts(done))
     stats = {
         "requested_rows": target, "generated_candidates": n, "candidate_target": candidates,
         "dedup": {"input_rows": n, "removed_exact_duplicates": n - n_kept, "output_rows": n_kept},
         "render_variants": {"removed_render_variants": n_kept - n_capped, "output_rows": n_capped},
-        "final_rows": done.count(), "split_counts": pairs(splits.split_counts(done)),
-        "split_summary": {"split_counts": pairs(splits.split_counts(done)), "schema_family": pairs(splits.split_summary(done, "schema_family")), "complexity": pairs(splits.split_summary(done, "complexity"))},
+        "final_rows": done.count(), "split_counts": split_counts,
+        "split_summary": {"split_counts": split_counts, "schema_family": pairs(splits.split_summary(done, "schema_family")), "complexity": pairs(splits.split_summary(done, "complexity"))},
         "leakage_report": {"has_leakage": any(shared.values()), "overlap_counts": shared}, "task_counts": pairs(splits.task_counts(done)),
     }
+    for df in (made, records, kept, capped, final):  # what follows reads `done`
+        df.unpersist()
     return done.select("position", *FIELDS), stats
 
 

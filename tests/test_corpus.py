@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loomsql import catalogue, cli
 from loomsql.functions import keys
 from loomsql.functions import programs as P
-from loomsql.operators import dedup
+from loomsql.operators import dedup, validate
 from loomsql.plans import corpus, program
 from loomsql.sources import export, schemas
 from loomsql.sources.schemas import FAMILIES
@@ -62,6 +62,16 @@ def test_stable_hashes_of_any_text(spark):
         assert r["h"] == keys.stable_hash_py({"a": 1, "z": r["t"]}), repr(r["t"])
 
 
+def test_texts_of_one_shape_parse_alike(spark):
+    p = F.col("program")
+    texts = [P.render(p), *[P.corrupted_sql(p, o, F.lit("logistics")) for o in P.CORRUPTIONS], P.noncanonical(p), F.lit("SELECT FROM"), F.lit(" "), F.lit(None).cast("string")]
+    made = [program.generate(f, template_id="t", complexity=c, seed=i) for f in FAMILIES for c in program.COMPLEXITIES for i in range(8)]
+    rows = program.frame(spark, made).select(F.explode(F.array(*texts)).alias("text")).distinct()
+    one, two = ({r["text"]: bool(r["parse_errors"]) for r in validate.with_parse_errors(rows, "text", by_shape=by).collect()} for by in (False, True))
+    assert one == two and set(one.values()) == {True, False} and len(one) > 200
+    assert validate.shape_of("SELECT t1.date AS a_1 FROM b WHERE c <> 'd e' LIMIT 25", {"SELECT", "DATE", "AS", "FROM", "WHERE", "LIMIT"}) == "SELECT x.date AS x FROM x WHERE x <> '' LIMIT 0"
+
+
 def test_names_and_families(spark):
     row = spark.sql("SELECT named_struct('schema_family', 'a', 'template_id', 'b') x, named_struct('schema_family', 'a', 'template_id', 'b') y, named_struct('schema_family', 'a', 'template_id', 'c') z")
     got = row.select(keys.versioned(F.lit("a"), F.lit("v1")), keys.same_template_family("x", "y"), keys.same_template_family("x", "z"), P.recipe_id(F.lit("one"), F.lit("two"))).first()

@@ -138,11 +138,9 @@ def test_validation_report_runs_all_stages(spark):
 
 def test_parse_results_decide(spark, monkeypatch):
     config = corpus.RELEASE | {"generation": corpus.RELEASE["generation"] | {"target_total_rows": 6, "max_attempts": 60}}
-    seen = []
-    real = corpus.validate.parse_all
-    monkeypatch.setattr(corpus.validate, "parse_all", lambda spark, texts: (seen.extend(texts), real(spark, texts))[1])
     rows = corpus.build(spark, config, FAMILIES)[0].collect()
-    said = dict(zip(seen, real(spark, seen), strict=True))
+    texts = [r["source_sql"] for r in rows]
+    said = dict(zip(texts, corpus.validate.parse_all(spark, texts), strict=True))
     assert rows and all(bool(said[r["source_sql"]]) == (r["corruption_recipe_id"] == "missing_comma") for r in rows if r["task"] != "canonicalization")
     monkeypatch.setattr(corpus.validate, "parse_all", lambda spark, texts: ["no"] * len(texts))
     with pytest.raises(ValueError):
