@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Spark's setting that deletes an execution's shuffle files at its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir as the session has it; only where it is unset, as in tests, a local folder that is then
     set for the session."""
@@ -21,12 +25,18 @@ def folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: computed once, without lineage, and safe from lost executors."""
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+    """The rows as a Parquet table in the shared folder: computed once, without lineage, and safe from lost executors. The
+    shuffle files of the step are deleted when it has ended, not when the driver happens to collect its garbage."""
     spark = df.sparkSession
     path = f"{folder(spark)}/loomsql-{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(schema).parquet(path)
     out._written_to = path
     return out
