@@ -1,7 +1,7 @@
 """LM scoring with an n-gram model over all training text, kept as Elias-Fano tries dealt out over shards.
 
-1. Documents are packed into blocks of about BLOCK_TOKENS tokens; a block keeps its distinct words (as 64-bit hashes) and
-   its texts as numbers of them.
+1. Documents are packed into blocks of about BLOCK_TOKENS tokens; a block keeps its distinct words (as 64-bit hashes, of
+   which 48 bits stay once words are counted) and its texts as numbers of them.
 2. Words are counted: each block sends its distinct words to shards, by their hashes, and gets their counts in all
    training documents back.
 3. Then for each order from 2 to ORDER: a block sends its distinct n-grams, grouped by context, to a shard that a hash of
@@ -44,13 +44,15 @@ from .subword import _ranges
 ORDER, FOLDS = 3, 10
 #: By order, A and E of the share of a context's probability that is left to the shorter context.
 LEFT = {2: (0.97, 0.1), 3: (0.85, 0.2)}
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 1_000_000
 #: Tokens per shard, about, and occurrences of a context in one shard.
-SHARD_TOKENS, SALT_TOKENS = 1_000_000, 500_000
+SHARD_TOKENS, SALT_TOKENS = 500_000, 250_000
 #: Keys of the end token and of the context before a text: no word and no context has them but by chance.
 END, START = np.uint64(0x1F3D5B79A2C4E687), np.uint64(0x3C6EF372FE94F82B)
 #: Steps of a code to a factor of ten in a probability. Code 0 is no code, code 1 a probability of one.
 STEPS = 2000
+#: By order (3 and more alike), bytes that tell the words after one context apart: longer contexts have fewer of them.
+SECOND = {2: 4, 3: 3}
 #: Steps to a factor of e in the probability that goes with a word, which is one byte.
 LOW_STEPS = 8
 
@@ -140,7 +142,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
         number = np.empty(len(order), np.uint32)
         number[order] = np.arange(len(order), dtype=np.uint32)
         train = ~np.array(held)
-        return _batch([((part << 24) + k, ids, held, n.astype(np.int64).tobytes(), words[order].tobytes(), _shrunk(number[tokens]), int(n[train].sum()), int(train.sum()), [], [])], BLOCK)
+        return _batch([((part << 24) + k, ids, held, n.astype(np.int64).tobytes(), _planes(words[order], 8), _shrunk(number[tokens]), int(n[train].sum()), int(train.sum()), [], [])], BLOCK)
 
     for batch in batches:
         array = bo.texts(batch.column(1))
@@ -162,7 +164,8 @@ class Block:
 
     def __init__(self, row: dict, train_tokens: int, types: int, train_docs: int, salt_tokens: int = SALT_TOKENS):
         self.row, self.order, self.train_docs, self.salt_tokens = row, 1, train_docs, salt_tokens
-        self.words, self.tokens = np.frombuffer(row["words"], np.uint64), _grown(row["tokens"])
+        self.tokens = _grown(row["tokens"])
+        self.words = _numbers(row["words"], 6) << np.uint64(16) if row["counts"] else _numbers(row["words"], 8)
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         self.train = np.repeat(~np.array(row["held_out"], bool), self.sizes)
         self.first = np.cumsum(self.sizes) - self.sizes
@@ -174,7 +177,7 @@ class Block:
             self.known = self.counts > 0
             for k in range(len(row["codes"])):
                 self.longer()
-                self.learn(_grown(row["counts"][k + 1], 6) if k + 1 < len(row["counts"]) else None, np.frombuffer(row["codes"][k], np.uint16))
+                self.learn(_grown(row["counts"][k + 1], 6) if k + 1 < len(row["counts"]) else None, _grown(row["codes"][k], 2))
 
     def longer(self) -> None:
         """On to the next order."""
@@ -226,7 +229,7 @@ class Block:
                 out.append((s, self.row["block"], _planes(np.diff(keys[a:b], prepend=np.uint64(0)), 8), None, None, None, None, _shrunk(counts[c:d])))
                 continue
             short, grams = keys[a:b] >> np.uint64(16), order[c:d]
-            out.append((s, self.row["block"], _planes(np.diff(short, prepend=np.uint64(0)), 6), _shrunk(sizes[a:b]), _shrunk(self.seen[context[a:b]], 6), _second(self.words[self.word[grams]]).tobytes(), _low_coded(self.low[grams]).tobytes(), _shrunk(counts[c:d])))
+            out.append((s, self.row["block"], _planes(np.diff(short, prepend=np.uint64(0)), 6), _shrunk(sizes[a:b]), _shrunk(self.seen[context[a:b]], 6), _planes(_second(self.words[self.word[grams]], self.order), SECOND[min(self.order, 3)]), zlib.compress(_low_coded(self.low[grams]).tobytes(), 1), _shrunk(counts[c:d])))
         return out
 
 
@@ -234,15 +237,16 @@ def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
 
-def _second(words: np.ndarray) -> np.ndarray:
+def _second(words: np.ndarray, order: int) -> np.ndarray:
     """What tells the words after one context apart."""
-    return (words >> np.uint64(32)).astype(np.uint32)
+    return words >> np.uint64(64 - 8 * SECOND[min(order, 3)])
 
 
 def _sent(batches: Iterator[pa.RecordBatch], numbers: tuple, shards: int) -> Iterator[pa.RecordBatch]:
     """A block's messages of the order after those that it has the counts of."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for k in range(batch.num_rows):  # one block at a time
+            row = batch.slice(k, 1).to_pylist()[0]
             block = Block(row, *numbers)
             if row["counts"]:
                 block.longer()
@@ -263,15 +267,17 @@ def _answered(table: pa.Table, order: int, last: bool) -> pa.Table:
     col = {n: table.column(n).to_pylist() for n in MESSAGE.names}
     keys, sizes = [np.cumsum(_numbers(x, 6)) for x in col["keys"]], [_grown(x) for x in col["sizes"]]
     lengths = [int(z.sum()) for z in sizes]
-    seconds, low = (np.frombuffer(b"".join(col[n]), t) for n, t in (("seconds", np.uint32), ("low", np.uint8)))
     contexts, of_group = np.unique(np.concatenate(keys), return_inverse=True)
     seen = np.empty(len(contexts), np.int64)
     seen[of_group] = np.concatenate([_grown(x, 6) for x in col["totals"]])
     # Distinct n-grams as (context's number, second word), ascending.
-    grams, of = np.unique(np.repeat(of_group.astype(np.uint64), np.concatenate(sizes)) << np.uint64(32) | seconds, return_inverse=True)
+    grams = np.repeat(of_group.astype(np.uint64) << np.uint64(32), np.concatenate(sizes))
+    grams |= np.concatenate([_numbers(x, SECOND[min(order, 3)]) for x in col.pop("seconds")])
+    del keys, sizes, of_group
+    grams, of = np.unique(grams, return_inverse=True)
     n = np.bincount(of, np.concatenate([_grown(x) for x in col["counts"]]), len(grams))
     low_of = np.empty(len(grams), np.uint8)
-    low_of[of] = low
+    low_of[of] = np.frombuffer(b"".join(zlib.decompress(x) for x in col.pop("low")), np.uint8)
     context, second = (grams >> np.uint64(32)).astype(np.int64), (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     some = n > 0
     c = seen[context[some]]
@@ -281,13 +287,13 @@ def _answered(table: pa.Table, order: int, last: bool) -> pa.Table:
     codes = trie.lookup(contexts, np.bincount(context, minlength=len(contexts)), second)
     at = np.cumsum(lengths)[:-1]
     counts = pa.nulls(len(lengths), pa.binary()) if last else [_shrunk(x, 6) for x in np.split(n.astype(np.int64)[of], at)]
-    return pa.table([col["shard"], col["block"], counts, [x.tobytes() for x in np.split(codes[of], at)], [0] * len(lengths)], schema=ANSWER)
+    return pa.table([col["shard"], col["block"], counts, [_shrunk(x, 2) for x in np.split(codes[of], at)], [0] * len(lengths)], schema=ANSWER)
 
 
 def _returned(block: Block, answers: pa.Table) -> tuple[np.ndarray | None, np.ndarray | None]:
     """Counts and codes of a block's distinct n-grams, from the shards' answers."""
     answers, order, out = answers.sort_by("shard"), block.laid_out()[0], []
-    for name, grown, kind in (("counts", lambda x: _grown(x, 6), np.int64), ("codes", lambda x: np.frombuffer(x, np.uint16), np.uint16)):
+    for name, grown, kind in (("counts", lambda x: _grown(x, 6), np.int64), ("codes", lambda x: _grown(x, 2), np.uint16)):
         parts = [grown(x) for x in answers.column(name).to_pylist() if x is not None]
         out.append(np.empty(len(order), kind) if parts else None)
         if parts:
@@ -304,7 +310,9 @@ def _merged(blocks: pa.Table, answers: pa.Table, numbers: tuple) -> pa.Table:
             block.longer()
         counts, codes = _returned(block, answers)
         row["counts"].append(_shrunk(counts, 6))
-        row["codes"] += [] if codes is None else [codes.tobytes()]
+        row["codes"] += [] if codes is None else [_shrunk(codes, 2)]
+        if block.order == 1:
+            row["words"] = _planes(block.words >> np.uint64(16), 6)
         rows.append(tuple(row[n] for n in BLOCK.names))
     return pa.Table.from_batches([_batch(rows, BLOCK)])
 
