@@ -2,17 +2,23 @@
 
 1. Each page's markup is cut, once, into text blocks. Blocks inside elements that can't be main text (menus, forms,
    scripts, adverts, reader comments, ...) are marked. Blocks inside article or main elements are the article.
-2. A page's stream of words has its unmarked blocks outside of an article, and of the article the blocks at its edges: of
-   its first EDGE and last EDGE blocks those of DEPTH to EDGE_WORDS words, where templates put their lines. The streams of a host's
-   pages are concatenated with a mark between pages; a suffix array of them (by prefix doubling) and the common prefixes
-   of its neighbours give the substrings of DEPTH words or more, and on how many distinct pages each occurs.
+2. A page's stream has the words of all its unmarked blocks, in page order. The streams of a host's pages are concatenated
+   with a mark between pages; a suffix array of them (by prefix doubling) and the common prefixes of its neighbours give
+   the substrings of DEPTH words or more, and on how many distinct pages each occurs.
 3. A block is boilerplate if such substrings cover COVERED of its words: outside of an article those that occur on two
-   pages; at the edge of an article, where pages may quote or copy one another, those on TEMPLATE of the host's pages and
-   on LEAST_PAGES at least.
+   pages; inside one, where pages may quote or copy one another, those on TEMPLATE of the host's pages and on LEAST_PAGES
+   at least. All blocks are judged, at any place of a page and of any length.
 4. A page's text is its unmarked article blocks and, in page order, the unmarked loose blocks of DEPTH words or more,
    without the boilerplate. Where no article has an unmarked block, it is the unmarked loose blocks of any length that
    aren't boilerplate (all unmarked ones if none is left: the page is then a copy of another).
 
+Words that can't be in such a substring don't go into the array. By a hash each window of DEPTH words falls into one of
+2 ** bits bins, and of each host and bin the pages with a window in it are counted. That is never less than the pages of
+one window, so a window is left out only if its bin has too few pages to matter: fewer than step 3 asks for inside of
+articles, and, if it touches loose text anywhere on the host, fewer than two. All occurrences of any other window stay,
+so the array's counts of these, and with them the result, are those of the whole streams. Where bins fill up (pages far
+longer than the mean) more words go into the array.
+
 A host's pages are dealt into groups of about GROUP_PAGES pages and GROUP_BYTES of streams, each with an array of its own;
 on how many pages of the host a window of DEPTH words occurs, if it does in two groups, is found by an aggregation over
 the host's windows, so the result doesn't depend on the groups.
@@ -26,6 +32,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +41,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytesops as bo
-from .scratch import written
+from .scratch import dropped, written
 
 DEPTH, COVERED, GROUP_PAGES, GROUP_BYTES = 8, 0.8, 2048, 4 << 20
-EDGE, EDGE_WORDS, TEMPLATE, LEAST_PAGES = 2, 40, 2 / 3, 20
+TEMPLATE, LEAST_PAGES = 2 / 3, 20
+#: Words up to which a block of an article is judged: no limit.
+EDGE_WORDS = float("inf")
+#: Bins of windows for each word of the mean page, least and most bits of a bin; windows held before bins are sent; parts
+#: of the input whose bins are added up at once.
+BINS, LEAST_BITS, MOST_BITS, HELD, PARTS = 32, 12, 20, 4_000_000, 64
 
 #: Fixed values, all of HTML: elements without an end tag; elements whose content isn't markup; block elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -124,13 +136,11 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool]]:
     return out
 
 
-def _words(texts: list[str]) -> tuple[np.ndarray, list[int]]:
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of texts, one after the other, and the number of words of each."""
-    if not texts:
-        return np.zeros(0, np.uint64), []
-    data, offsets = bo.separated(bo.texts(pa.array(texts)))
+    data, offsets = bo.separated(texts)
     starts, ends = bo.spans(data, bo.NOT_SPACE)
-    return bo.hashed(bo.prefix_sums(data), starts, ends), np.diff(bo.rows_of(starts, offsets)).tolist()
+    return bo.hashed(bo.prefix_sums(data), starts, ends), np.diff(bo.rows_of(starts, offsets))
 
 
 def suffix_array(words: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -160,15 +170,16 @@ def common_prefixes(array: np.ndarray, ranks: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def pages_with(words: np.ndarray, page: np.ndarray, more: tuple[np.ndarray, np.ndarray] | None = None, depth: int = DEPTH) -> np.ndarray:
-    """On how many distinct pages each place's next `depth` words occur; 0 for a place with fewer before its page ends.
-    words: the pages' streams, one after the other. more: windows() and the pages that they have in all groups."""
-    n = len(words)
+def pages_with(words: np.ndarray, page: np.ndarray, more: tuple[np.ndarray, np.ndarray] | None = None, depth: int = DEPTH, run: np.ndarray | None = None) -> np.ndarray:
+    """On how many distinct pages each place's next `depth` words occur; 0 for a place with fewer before its run ends.
+    words: the pages' streams, one after the other. more: windows() and the pages that they have in all groups. run:
+    numbers of the runs that were adjacent on a page; without them, a page is one."""
+    n, run = len(words), page if run is None else run
     out = np.zeros(n, np.int64)
     if n < depth:
         return out
-    # A mark of its own after each page: no two suffixes agree beyond the end of a page.
-    last = np.flatnonzero(np.append(page[1:] != page[:-1], True))
+    # A mark of its own after each run: no two suffixes agree beyond the end of a run.
+    last = np.flatnonzero(np.append(run[1:] != run[:-1], True))
     number = np.unique(words, return_inverse=True)[1] + len(last)
     stream, of_page = np.insert(number, last + 1, np.arange(len(last))), np.insert(page, last + 1, page[last])
     array, ranks = suffix_array(stream)
@@ -177,13 +188,18 @@ def pages_with(words: np.ndarray, page: np.ndarray, more: tuple[np.ndarray, np.n
     counts = np.empty(len(stream), np.int64)
     counts[array] = np.bincount(pair, minlength=int(group[-1]) + 1)[group]
     out = np.delete(counts, last + 1 + np.arange(len(last)))
-    whole = np.zeros(n, bool)
-    whole[: n - depth + 1] = page[: n - depth + 1] == page[depth - 1 :]
     if more is not None and len(more[0]):
         known, own = np.argsort(more[0]), windows(words, depth)
         at = np.minimum(np.searchsorted(more[0][known], own), len(known) - 1)
         out = np.where(more[0][known][at] == own, np.maximum(out, more[1][known][at]), out)
-    return np.where(whole, out, 0)
+    return np.where(_whole(run, depth), out, 0)
+
+
+def _whole(run: np.ndarray, depth: int) -> np.ndarray:
+    """Which places have `depth` words before their run ends."""
+    whole = np.zeros(len(run), bool)
+    whole[: max(len(run) - depth + 1, 0)] = run[: max(len(run) - depth + 1, 0)] == run[depth - 1 :]
+    return whole
 
 
 def covered(words: np.ndarray, page: np.ndarray, more: tuple[np.ndarray, np.ndarray] | None = None, depth: int = DEPTH, least: int = 2) -> np.ndarray:
@@ -208,51 +224,164 @@ def windows(words: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     return out
 
 
-#: The blocks that may be text; the number of each among the blocks of the stream (null: not in it); of each of these what
-#: it is to be judged as (0: not at all, 1: loose text, 2: the edge of an article) and its words; the stream.
-PARSED = "struct<texts:array<string>, slots:array<int>, kinds:array<int>, sizes:array<int>, words:binary>"
-_PARSED = pa.struct([("texts", pa.list_(pa.string())), ("slots", pa.list_(pa.int32())), ("kinds", pa.list_(pa.int32())), ("sizes", pa.list_(pa.int32())), ("words", pa.binary())])
+#: A page's unmarked blocks, in page order; of each what it is (0: too short a loose text beside an article, 1: loose text,
+#: 2: text of an article); the number of their words.
+PARSED = "struct<texts:array<string>, kinds:array<int>, n:bigint>"
+_PARSED = pa.struct([("texts", pa.list_(pa.string())), ("kinds", pa.list_(pa.int32())), ("n", pa.int64())])
+#: Of a page's stream the words that go into the array and their places in it; the words of all its blocks.
+STREAM = "struct<words:binary, places:binary, sizes:array<int>>"
+_STREAM = pa.struct([("words", pa.binary()), ("places", pa.binary()), ("sizes", pa.list_(pa.int32()))])
+#: By bin, the pages with a window in it, and whether one of these touches loose text (null: none does).
+BINNED = pa.schema([("host", pa.string()), ("part", pa.int64()), ("counts", pa.binary()), ("loose", pa.binary())])
+_DDL = "host string, part bigint, counts binary, loose binary"
+
+
+def _candidates(found: list[tuple[str, bool, bool]], depth: int) -> tuple[list[str], list[int], int]:
+    unmarked = [(text, article, text.count(" ") + 1) for text, article, marked in found if not marked]
+    own = any(article for _, article, _ in unmarked)
+    return [u[0] for u in unmarked], [2 if a else int(n >= depth or not own) for _, a, n in unmarked], sum(u[2] for u in unmarked)
+
+
+def _streams(texts: pa.ListArray, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of pages: the first page; the first block of each page and after the last; the words of each block; the
+    words; the page, in the slice, of each word; windows()."""
+    flat, first = bo.texts(texts.flatten()), np.asarray(texts.offsets).astype(np.int64)
+    if not len(flat):
+        return
+    first -= first[0]
+    at, a = bo.buffers(flat)[1][first], 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(at, at[a] + bo.SLICE_BYTES, "right")) - 1)
+        if first[b] > first[a]:
+            words, sizes = _words(flat.slice(first[a], first[b] - first[a]))
+            page = np.repeat(np.repeat(np.arange(b - a), np.diff(first[a : b + 1])), sizes)
+            yield a, first[a : b + 1], sizes, words, page, windows(words, depth)
+        a = b
+
+
+def _zipped(numbers: np.ndarray) -> bytes:
+    return pa.compress(numbers.tobytes(), "zstd", asbytes=True)
+
+
+def _unzipped(data: bytes, size: int, kind: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, size * np.dtype(kind).itemsize, "zstd"), kind)
+
+
+def _binned(batches: Iterator[pa.RecordBatch], depth: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows of BINNED, for each host of some of the pages of a part of the input."""
+    from pyspark import TaskContext
+
+    part, numbers, counted, touching, held = TaskContext.get().partitionId() // PARTS, {}, [], [], 0
+
+    def sent():
+        bins, n = np.unique(np.concatenate(counted), return_counts=True)
+        loose, rows = np.unique(np.concatenate(touching)), []
+        for host, k in numbers.items():
+            (a, b), (c, d) = (np.searchsorted(x, [k << bits, (k + 1) << bits]) for x in (bins, loose))
+            if a < b:
+                counts, flags = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, bool)
+                counts[bins[a:b] - (k << bits)] = n[a:b]
+                flags[loose[c:d] - (k << bits)] = True
+                rows.append((host, part, _zipped(counts), _zipped(flags) if c < d else None))
+            if len(rows) == 256:
+                yield pa.RecordBatch.from_pylist([dict(zip(BINNED.names, r, strict=True)) for r in rows], BINNED)
+                rows = []
+        yield pa.RecordBatch.from_pylist([dict(zip(BINNED.names, r, strict=True)) for r in rows], BINNED)
+
+    for batch in batches:
+        of_page = np.array([numbers.setdefault(h, len(numbers)) for h in batch.column(0).to_pylist()], np.int64)
+        kinds = batch.column(2).flatten().to_numpy()
+        for row, first, sizes, _, page, hashes in _streams(batch.column(1), depth):
+            whole = np.flatnonzero(_whole(page, depth))
+            bins = (hashes[whole] >> np.uint64(64 - bits)).astype(np.int64)
+            distinct = np.unique(page[whole] << bits | bins)
+            counted.append(of_page[row + (distinct >> bits)] << bits | distinct & (1 << bits) - 1)
+            loose = np.concatenate(([0], np.cumsum(np.repeat(kinds[first[0] : first[-1]] == 1, sizes))))
+            near = loose[whole + depth] > loose[whole]
+            touching.append(np.unique(of_page[row + page[whole[near]]] << bits | bins[near]))
+            held += len(distinct)
+            if held >= HELD:
+                yield from sent()
+                numbers, counted, touching, held = {}, [], [], 0
+                of_page = np.array([numbers.setdefault(h, len(numbers)) for h in batch.column(0).to_pylist()], np.int64)
+    if counted:
+        yield from sent()
+
+
+def _added(table: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    counts, loose = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, bool)
+    for one, flags in zip(table.column("counts"), table.column("loose"), strict=True):
+        counts += _unzipped(one.as_py(), 1 << bits, np.uint64)
+        if flags.is_valid:
+            loose |= _unzipped(flags.as_py(), 1 << bits, bool)
+    return counts, loose
+
+
+def _of_part(table: pa.Table, bits: int) -> pa.Table:
+    counts, loose = _added(table, bits)
+    return pa.table([table.column("host")[:1], table.column("part")[:1], [_zipped(counts)], [_zipped(loose)]], schema=BINNED)
+
+
+def _of_host(table: pa.Table, bits: int) -> pa.Table:
+    """The bins whose windows go into the host's array, if there are any."""
+    counts, loose = _added(table, bits)
+    used = (counts >= _least(table.column("of_host")[0].as_py())) | loose & (counts >= 2)
+    rows = [(table.column("host")[0].as_py(), table.column("of_host")[0].as_py(), _zipped(used))] if used.any() else []
+    return pa.Table.from_pylist([dict(host=h, of_host=n, bins=b) for h, n, b in rows], pa.schema([("host", pa.string()), ("of_host", pa.int64()), ("bins", pa.binary())]))
+
+
+def _least(pages: int) -> int:
+    """Pages on which a substring is that takes text from an article."""
+    return max(LEAST_PAGES, int(np.ceil(TEMPLATE * pages)))
+
+
+def _used(texts: pa.ListArray, bins: pa.Array, depth: int, bits: int) -> pa.Array:
+    """Rows of STREAM; null for a page without a window in one of its host's bins."""
+    out = [None] * len(texts)
+    for row, first, sizes, words, page, hashes in _streams(texts, depth):
+        at, whole = np.searchsorted(page, np.arange(len(first))), _whole(page, depth)
+        first, known = first - first[0], (None, None)
+        for k in range(len(first) - 1):
+            a, b = at[k : k + 2]
+            if b - a < depth:
+                continue
+            own = bins[row + k].as_py()
+            if own != known[0]:
+                known = own, _unzipped(own, 1 << bits, bool)
+            hits = whole[a:b] & known[1][(hashes[a:b] >> np.uint64(64 - bits)).astype(np.int64)]
+            places = np.flatnonzero(_spread(hits, depth))
+            if len(places):
+                out[row + k] = dict(words=words[a:b][places].tobytes(), places=places.tobytes(), sizes=sizes[first[k] : first[k + 1]].tolist())
+    return pa.array(out, _STREAM)
 
 
-def _candidates(found: list[tuple[str, bool, bool]], depth: int) -> tuple[list[str], list[int | None], list[int], list[int], bytes]:
-    own = [i for i, (_, article, marked) in enumerate(found) if article and not marked]
-    edges = {i for i in own[:EDGE] + own[-EDGE:] if depth <= len(found[i][0].split()) <= EDGE_WORDS}
-    words, sizes = _words([t for i, (t, article, marked) in enumerate(found) if i in edges or not article and not marked])
-    texts, slots, kinds = [], [], []
-    for i, (text, article, marked) in enumerate(found):
-        judged = i in edges or not article and not marked
-        use = not marked and (article or sizes[len(kinds)] >= (depth if own else 1))
-        if use:
-            texts.append(text)
-            slots.append(len(kinds) if judged else None)
-        if judged:
-            kinds.append(0 if not use else 2 if article else 1)
-    return texts, slots, kinds, sizes, words.tobytes()
+def _runs(places: np.ndarray, page: np.ndarray) -> np.ndarray:
+    """Numbers of the runs of adjacent places of a page."""
+    return np.cumsum(np.append(True, (np.diff(places) != 1) | (page[1:] != page[:-1]))) if len(places) else places
 
 
 def _boilerplate(rows: pa.Table, depth: int) -> pa.Table:
-    """Of the pages of a group, the blocks of their streams to drop."""
+    """Of the pages of a group, the blocks to drop."""
     known = rows.filter(pc.is_valid(rows.column("window")))
     more = np.array(known.column("window").to_pylist(), np.int64).view(np.uint64), np.array(known.column("pages").to_pylist(), np.int64)
     pages = rows.filter(pc.is_valid(rows.column("key")))
     found, seen, streams = [], set(), []
-    for key, words, kinds, sizes in zip(*(pages.column(c).to_pylist() for c in ("key", "words", "kinds", "sizes")), strict=True):
+    for key, words, places, sizes, kinds in zip(*(pages.column(c).to_pylist() for c in ("key", "words", "places", "sizes", "kinds")), strict=True):
         if key not in seen:
             seen.add(key)
-            streams.append((key, np.frombuffer(words, np.uint64), kinds, sizes))
+            streams.append((key, np.frombuffer(words, np.uint64), np.frombuffer(places, np.int64), sizes, kinds))
     if streams:
-        of_host = pages.column("of_host")[0].as_py() or len(streams)
-        lengths = [len(s[1]) for s in streams]
-        n = pages_with(np.concatenate([s[1] for s in streams]), np.repeat(np.arange(len(streams)), lengths), more, depth)
-        marks = {1: _spread(n >= 2, depth), 2: _spread(n >= max(LEAST_PAGES, int(np.ceil(TEMPLATE * of_host))), depth)}
-        first = np.concatenate(([0], np.cumsum(lengths))).tolist()
-        for (key, _, kinds, sizes), at in zip(streams, first[:-1], strict=True):
-            drop = []
-            for kind, size in zip(kinds, sizes, strict=True):
-                drop.append(bool(kind and size and marks[kind][at : at + size].mean() >= COVERED))
-                at += size
+        page = np.repeat(np.arange(len(streams)), [len(s[1]) for s in streams])
+        n = pages_with(np.concatenate([s[1] for s in streams]), page, more, depth, _runs(np.concatenate([s[2] for s in streams]), page))
+        marks = {1: _spread(n >= 2, depth), 2: _spread(n >= _least(pages.column("of_host")[0].as_py()), depth)}
+        at = 0
+        for key, words, places, sizes, kinds in streams:
+            block = np.repeat(np.arange(len(sizes)), sizes)[places]
+            share = {k: np.bincount(block, m[at : at + len(words)], len(sizes)) / np.array(sizes) for k, m in marks.items()}
+            drop = [bool(k and share[k][i] >= COVERED) for i, k in enumerate(kinds)]
             if any(drop):
                 found.append((key, drop))
+            at += len(words)
     return pa.table({"key": pa.array([f[0] for f in found], pa.string()), "drop": pa.array([f[1] for f in found], pa.list_(pa.bool_()))})
 
 
@@ -265,34 +394,50 @@ def extract(pages: DataFrame, depth: int = DEPTH, group_pages: int = GROUP_PAGES
         columns = list(zip(*out, strict=True)) if out else [[]] * len(_PARSED)
         return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PARSED, strict=True)], fields=list(_PARSED))
 
-    @F.arrow_udf("array<bigint>")
-    def windows_of(column: pa.Array) -> pa.Array:
-        return pa.array([np.unique(windows(w, depth)[: max(len(w) - depth + 1, 0)]).view(np.int64).tolist() for w in (np.frombuffer(x, np.uint64) for x in column.to_pylist())], pa.list_(pa.int64()))
-
     key = F.md5(F.concat(F.coalesce("url", F.lit("")), F.lit("\n"), F.coalesce("html", F.lit(""))))
     host = F.lower(F.coalesce(F.regexp_extract("url", r"(?s)\A.*?://([^/?#]*)", 1), F.lit("")))
     # Parsed once; the streams, and later the texts, are read from this table.
     base = written(pages.select("page_id", "url", host.alias("host"), key.alias("key"), parsed(F.col("html")).alias("p")).select("page_id", "url", "host", "key", "p.*"), "blocks", "zstd")
+    bits = int(np.clip(np.ceil(np.log2(BINS * max(base.agg(F.avg("n")).first()[0] or 0, 1))), LEAST_BITS, MOST_BITS))
+
+    @F.arrow_udf(STREAM)
+    def used(texts: pa.Array, bins: pa.Array) -> pa.Array:
+        return _used(texts, bins, depth, bits)
+
+    @F.arrow_udf("array<bigint>")
+    def windows_of(words: pa.Array, places: pa.Array) -> pa.Array:
+        out = []
+        for w, p in zip(words.to_pylist(), places.to_pylist(), strict=True):
+            w, p = np.frombuffer(w, np.uint64), np.frombuffer(p, np.int64)
+            out.append(np.unique(windows(w, depth)[_whole(_runs(p, np.zeros(len(p))), depth)]).view(np.int64).tolist())
+        return pa.array(out, pa.list_(pa.int64()))
+
+    of_hosts = base.groupBy("host").agg(F.count_distinct("key").alias("of_host"))
+    # Added up by parts of the input first, so that no task gets the bins of a host from all of it.
+    binned = base.select("host", "texts", "kinds").mapInArrow(lambda x: _binned(x, depth, bits), _DDL).groupBy("host", "part").applyInArrow(lambda t: _of_part(t, bits), _DDL)
+    bins = written(binned.join(of_hosts, "host").groupBy("host").applyInArrow(lambda t: _of_host(t, bits), "host string, of_host bigint, bins binary"), "bins")
+    streams = base.join(bins, "host").select("host", "of_host", "key", "kinds", used(F.col("texts"), F.col("bins")).alias("s")).where("s is not null")
+    streams = written(streams.select("host", "of_host", "key", "kinds", "s.*"), "streams", "zstd")
     # Hosts of more pages or longer streams than a group has; other hosts are one group each.
     size = F.greatest(F.ceil(F.count("*") / group_pages), F.ceil(F.sum(F.octet_length("words")) / group_bytes))
-    large = base.groupBy("host").agg(size.alias("groups")).where("groups > 1")
-    streams = base.select("host", "key", "words", "kinds", "sizes").join(large, "host", "left")
-    streams = streams.withColumn("group", F.pmod(F.xxhash64("key"), F.coalesce("groups", F.lit(1))))
-    # Of large hosts, each different page once: their number, and the windows that occur in two groups. Counts are combined
-    # before the shuffle.
-    once = streams.where("groups > 1").dropDuplicates(["host", "key"])
-    of_hosts = once.groupBy("host").agg(F.count("*").alias("of_host"))
-    apart = once.select("host", "group", F.explode(windows_of(F.col("words"))).alias("window")).groupBy("host", "group", "window").agg(F.count("*").alias("n"))
+    large = streams.groupBy("host").agg(size.alias("groups")).where("groups > 1")
+    grouped = streams.join(large, "host", "left").withColumn("group", F.pmod(F.xxhash64("key"), F.coalesce("groups", F.lit(1))))
+    # Of large hosts, each different page once: the windows that occur in two groups. Counts are combined before the shuffle.
+    once = grouped.where("groups > 1").dropDuplicates(["host", "key"])
+    apart = once.select("host", "group", F.explode(windows_of(F.col("words"), F.col("places"))).alias("window")).groupBy("host", "group", "window").agg(F.count("*").alias("n"))
     # The list has a number for each group of the host at most.
     shared = apart.groupBy("host", "window").agg(F.sum("n").alias("pages"), F.collect_list("group").alias("in")).where(F.size("in") > 1)
-    none = "cast(null as {}) as {}".format
-    known = shared.select("host", F.explode("in").alias("group"), "window", "pages").selectExpr("host", "`group`", none("string", "key"), none("binary", "words"), none("array<int>", "kinds"), none("array<int>", "sizes"), none("bigint", "of_host"), "window", "pages")
-    rows = streams.join(of_hosts, "host", "left").selectExpr("host", "`group`", "key", "words", "kinds", "sizes", "of_host", none("bigint", "window"), none("bigint", "pages")).unionByName(known)
+    columns = {"of_host": "bigint", "key": "string", "words": "binary", "places": "binary", "sizes": "array<int>", "kinds": "array<int>"}
+    known = shared.select("host", F.explode("in").alias("group"), "window", "pages").selectExpr("host", "`group`", *(f"cast(null as {t}) as {c}" for c, t in columns.items()), "window", "pages")
+    rows = grouped.selectExpr("host", "`group`", *columns, "cast(null as bigint) as window", "cast(null as bigint) as pages").unionByName(known)
     dropped_blocks = rows.groupBy("host", "group").applyInArrow(lambda t: _boilerplate(t, depth), "key string, drop array<boolean>")
     # Written first: its size then tells how to join it, and it holds only pages that lose a block.
     lost_blocks = written(dropped_blocks, "boilerplate")
-    joined = base.select("page_id", "url", "key", "texts", "slots").join(lost_blocks, "key", "left")
-    lost = lambda i: F.coalesce(F.get("drop", F.get("slots", i)), F.lit(False))
-    unique = F.filter(F.transform("texts", lambda t, i: F.when(lost(i), F.lit(None)).otherwise(t)), lambda t: t.isNotNull())
-    kept = F.when(F.size(unique) > 0, unique).otherwise(F.col("texts"))
+    dropped(bins, streams)
+    joined = base.select("page_id", "url", "key", "texts", "kinds").join(lost_blocks, "key", "left")
+    usable = lambda i: F.get("kinds", i) > 0
+    lost = lambda i: F.coalesce(F.get("drop", i), F.lit(False))
+    some = lambda keep: F.filter(F.transform("texts", lambda t, i: F.when(keep(i), t)), lambda t: t.isNotNull())
+    unique = some(lambda i: usable(i) & ~lost(i))
+    kept = F.when(F.size(unique) > 0, unique).otherwise(some(usable))
     return joined.withColumn("kept", kept).select("page_id", "url", F.array_join("kept", "\n\n").alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -73,6 +73,55 @@ def test_extraction_against_brute_force(spark, group_pages):
     assert any("of our template" in h and "of our template" not in want[u, h] for u, h in pages if u and h)  # the array has decided inside of articles
 
 
+def slow_whole(pages, depth=htmltext.DEPTH):
+    """Texts by (url, html), judging all unmarked blocks: the windows of all of them in a dictionary."""
+    parsed = {p: [b for b in htmltext.blocks(p[1]) if not b[2]] for p in set(pages)}
+    host = {p: (re.match(r"(?s).*?://([^/?#]*)", p[0] or "") or ["", ""])[1].lower() for p in parsed}
+    words, where, out = {p: [w for t, _, _ in found for w in t.split()] for p, found in parsed.items()}, {}, {}
+    for p, stream in words.items():
+        for k in range(len(stream) - depth + 1):
+            where.setdefault((host[p], tuple(stream[k : k + depth])), set()).add(p)
+    for p, found in parsed.items():
+        n, at, kept, usable = sum(h == host[p] for h in host.values()), 0, [], []
+        on = [len(where[host[p], tuple(words[p][k : k + depth])]) for k in range(len(words[p]) - depth + 1)]
+        for text, article, _ in found:
+            size, least = len(text.split()), max(htmltext.LEAST_PAGES, math.ceil(htmltext.TEMPLATE * n)) if article else 2
+            hits = [any(m >= least for m in on[max(0, k - depth + 1) : k + 1]) for k in range(at, at + size)]
+            at += size
+            if article or size >= depth or not any(a for _, a, _ in found):
+                usable.append(text)
+                if sum(hits) / size < htmltext.COVERED:
+                    kept.append(text)
+        out[p] = "\n\n".join(kept or usable)
+    return out
+
+
+def pages_with_lines_inside(rng):
+    """Articles with template lines in the middle, long and in short lines on end, quotes of other articles, copies."""
+    words = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 10**6, n))
+    long, short, quote = words(70), [words(4), words(3), words(5)], words(30)
+    pages, teasers = [], []
+    for i in range(80):
+        own = [words(int(rng.integers(3, 60))) for _ in range(8)]
+        inside = [*own[:3], *([long] if rng.random() < 0.9 else []), own[3], *([quote] if rng.random() < 0.5 else []), *own[4:6], *(short if rng.random() < 0.9 else []), *own[6:]]
+        teasers.append(own[4])
+        loose = [f"<div>{teasers[int(rng.integers(len(teasers)))]} and</div>" for _ in range(2)] + [f"<div>{words(20)}</div>"]
+        pages.append((f"http://{('a.com', 'b.com', 'b.com')[i % 3]}/{i}", "<article>" + "".join(f"<p>{t}</p>" for t in inside) + "</article>" + "".join(loose)))
+    return [*pages, *pages[:40], (None, None), ("http://a.com/x", "<p>loose")], long, short, quote
+
+
+@pytest.mark.parametrize("group_pages, bins", [(7, 32), (htmltext.GROUP_PAGES, 32), (9, 1)])
+def test_all_places_of_articles_are_judged(spark, monkeypatch, group_pages, bins):
+    monkeypatch.setattr(htmltext, "BINS", bins)
+    monkeypatch.setattr(htmltext, "LEAST_BITS", 4 if bins == 1 else htmltext.LEAST_BITS)
+    pages, long, short, quote = pages_with_lines_inside(np.random.default_rng(6))
+    want = slow_whole(pages)
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in htmltext.extract(frame, group_pages=group_pages).collect()}
+    assert got == {i: want[p] for i, p in enumerate(pages)}
+    assert any(long in p[1] for p in pages[:80]) and not any(t in got[i] for i in range(80) for t in (long, *short)) and any(quote in t for t in got.values())
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(5)
     for top in (2, 4, 1000):
