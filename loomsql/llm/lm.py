@@ -74,22 +74,53 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def _planes(numbers: np.ndarray, k: int) -> bytes:
     """The low k bytes of each number: all first bytes, then all second ones, ..."""
-    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].T.tobytes()
+    return b"".join((numbers >> numbers.dtype.type(8 * i)).astype(np.uint8).tobytes() for i in range(k))
 
 
 def _numbers(data: bytes, k: int) -> np.ndarray:
-    wide = np.zeros((len(data) // k, 8), np.uint8)
-    wide[:, :k] = np.frombuffer(data, np.uint8).reshape(k, -1).T
-    return wide.view("<u8").ravel()
+    planes, out = np.frombuffer(data, np.uint8).reshape(k, -1), np.zeros(len(data) // k, np.uint64)
+    for i, plane in enumerate(planes):
+        if i < 2 or plane.any():
+            out |= plane.astype(np.uint64) << np.uint64(8 * i)
+    return out
+
+
+def _packed(data: bytes) -> bytes:
+    """Compressed, after the length."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> bytes:
+    return pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
 
 
 def _shrunk(numbers: np.ndarray, k: int = 4) -> bytes:
     """Numbers of k bytes, mostly small, byte by byte and compressed."""
-    return zlib.compress(_planes(numbers, k), 1)
+    return _packed(_planes(numbers, k))
 
 
 def _grown(data: bytes, k: int = 4) -> np.ndarray:
-    return _numbers(zlib.decompress(data), k).astype(np.int64)
+    return _numbers(_unpacked(data), k).view(np.int64)
+
+
+def distinct(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers, ascending, and the place of each number among them. Where a number and its place fit into 64
+    bits, these are sorted as one."""
+    n = len(numbers)
+    least = numbers.min() if n else 0
+    bits = n.bit_length()
+    if not n or int(numbers.max()) - int(least) >= 1 << (64 - bits):
+        return np.unique(numbers, return_inverse=True)
+    both = (numbers - least).astype(np.uint64) << np.uint64(bits)
+    both |= np.arange(n, dtype=np.uint64)
+    both.sort()
+    place = (both & np.uint64((1 << bits) - 1)).view(np.int64)
+    both >>= np.uint64(bits)
+    new = np.empty(n, bool)
+    new[0], new[1:] = True, both[1:] != both[:-1]
+    of = np.empty(n, np.int64)
+    of[place] = np.cumsum(new) - 1
+    return both[new].astype(numbers.dtype) + least, of
 
 
 def tokens_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +148,7 @@ def coded(p: np.ndarray) -> np.ndarray:
 
 
 def decoded(codes: np.ndarray) -> np.ndarray:
-    return 10 ** (-(codes.astype(float) - 1) / STEPS)
+    return _DECODED[codes]
 
 
 def _low_coded(p: np.ndarray) -> np.ndarray:
@@ -125,7 +156,11 @@ def _low_coded(p: np.ndarray) -> np.ndarray:
 
 
 def _low_decoded(codes: np.ndarray) -> np.ndarray:
-    return np.exp(-codes.astype(float) / LOW_STEPS)
+    return _LOW_DECODED[codes]
+
+
+#: The probability of each code.
+_DECODED, _LOW_DECODED = 10 ** (-(np.arange(65536.0) - 1) / STEPS), np.exp(-np.arange(256.0) / LOW_STEPS)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -135,7 +170,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
     ids, keys, sizes, total = [], [], [], 0
 
     def pack():
-        words, tokens = np.unique(np.concatenate(keys), return_inverse=True)
+        words, tokens = distinct(np.concatenate(keys))
         n, held = np.concatenate(sizes), held_out(ids)
         # Frequent words get small numbers: they compress well.
         order = np.argsort(-np.bincount(tokens), kind="stable")
@@ -185,9 +220,10 @@ class Block:
         contexts[1:] = self.of[:-1]
         contexts[self.first] = len(self.hashes)
         hashes, seen = np.append(self.hashes, START), np.append(self.counts, self.train_docs)
-        distinct, of = np.unique(contexts * len(self.words) + self.tokens, return_inverse=True)
-        self.context, self.word = distinct // len(self.words), distinct % len(self.words)
-        shorter = np.empty(len(distinct), np.int64)
+        bits = len(self.words).bit_length()
+        grams, of = distinct(contexts << bits | self.tokens)
+        self.context, self.word = grams >> bits, grams & ((1 << bits) - 1)
+        shorter = np.empty(len(grams), np.int64)
         shorter[of] = self.of
         with np.errstate(over="ignore"):
             self.hashes = bo.mix(hashes[self.context] * np.uint64(0x9E3779B97F4A7C15) + self.words[self.word] + np.uint64(1))
@@ -197,7 +233,8 @@ class Block:
     def learn(self, counts: np.ndarray | None, codes: np.ndarray) -> None:
         """The counts of the distinct n-grams, and the codes of their probabilities; what has none goes by the shorter."""
         self.counts = counts
-        self.p = np.where(codes > 0, decoded(codes), left(self.order, self.seen[self.context]) * self.low)
+        self.p, none = decoded(codes), np.flatnonzero(codes == 0)
+        self.p[none] = left(self.order, self.seen[self.context[none]]) * self.low[none]
 
     def laid_out(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The order in which n-grams are sent; of each group its key, size and context. Keys ascend, and their first bits
@@ -229,7 +266,7 @@ class Block:
                 out.append((s, self.row["block"], _planes(np.diff(keys[a:b], prepend=np.uint64(0)), 8), None, None, None, None, _shrunk(counts[c:d])))
                 continue
             short, grams = keys[a:b] >> np.uint64(16), order[c:d]
-            out.append((s, self.row["block"], _planes(np.diff(short, prepend=np.uint64(0)), 6), _shrunk(sizes[a:b]), _shrunk(self.seen[context[a:b]], 6), _planes(_second(self.words[self.word[grams]], self.order), SECOND[min(self.order, 3)]), zlib.compress(_low_coded(self.low[grams]).tobytes(), 1), _shrunk(counts[c:d])))
+            out.append((s, self.row["block"], _planes(np.diff(short, prepend=np.uint64(0)), 6), _shrunk(sizes[a:b]), _shrunk(self.seen[context[a:b]], 6), _planes(_second(self.words[self.word[grams]], self.order), SECOND[min(self.order, 3)]), _packed(_low_coded(self.low[grams]).tobytes()), _shrunk(counts[c:d])))
         return out
 
 
@@ -256,8 +293,8 @@ def _sent(batches: Iterator[pa.RecordBatch], numbers: tuple, shards: int) -> Ite
 def _counted(table: pa.Table) -> pa.Table:
     """All that one shard was sent of words: their counts."""
     keys = [np.cumsum(_numbers(x, 8)) for x in table.column("keys").to_pylist()]
-    distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(of, np.concatenate([_grown(x) for x in table.column("counts").to_pylist()]), len(distinct)).astype(np.int64)
+    words, of = distinct(np.concatenate(keys))
+    total = np.bincount(of, np.concatenate([_grown(x) for x in table.column("counts").to_pylist()]), len(words)).astype(np.int64)
     counts = [_shrunk(x, 6) for x in np.split(total[of], np.cumsum([len(k) for k in keys])[:-1])]
     return pa.table([table.column("shard"), table.column("block"), counts, pa.nulls(len(counts), pa.binary()), [int((total > 0).sum())] + [0] * (len(counts) - 1)], schema=ANSWER)
 
@@ -267,21 +304,20 @@ def _answered(table: pa.Table, order: int, last: bool) -> pa.Table:
     col = {n: table.column(n).to_pylist() for n in MESSAGE.names}
     keys, sizes = [np.cumsum(_numbers(x, 6)) for x in col["keys"]], [_grown(x) for x in col["sizes"]]
     lengths = [int(z.sum()) for z in sizes]
-    contexts, of_group = np.unique(np.concatenate(keys), return_inverse=True)
+    contexts, of_group = distinct(np.concatenate(keys))
     seen = np.empty(len(contexts), np.int64)
     seen[of_group] = np.concatenate([_grown(x, 6) for x in col["totals"]])
     # Distinct n-grams as (context's number, second word), ascending.
     grams = np.repeat(of_group.astype(np.uint64) << np.uint64(32), np.concatenate(sizes))
     grams |= np.concatenate([_numbers(x, SECOND[min(order, 3)]) for x in col.pop("seconds")])
     del keys, sizes, of_group
-    grams, of = np.unique(grams, return_inverse=True)
+    grams, of = distinct(grams)
     n = np.bincount(of, np.concatenate([_grown(x) for x in col["counts"]]), len(grams))
     low_of = np.empty(len(grams), np.uint8)
-    low_of[of] = np.frombuffer(b"".join(zlib.decompress(x) for x in col.pop("low")), np.uint8)
+    low_of[of] = np.frombuffer(b"".join(_unpacked(x) for x in col.pop("low")), np.uint8)
     context, second = (grams >> np.uint64(32)).astype(np.int64), (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     some = n > 0
-    c = seen[context[some]]
-    m = left(order, c)
+    c, m = seen[context[some]], left(order, seen)[context[some]]
     p = (1 - m) * n[some] / np.maximum(c, 1) + m * _low_decoded(low_of[some])
     trie = Trie.build(contexts[context[some]], second[some], coded(np.minimum(p, 1.0)), 1 << 48)
     codes = trie.lookup(contexts, np.bincount(context, minlength=len(contexts)), second)

@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -152,3 +153,31 @@ def test_trie_against_a_dictionary():
     assert got.tolist() == [want.get((c, b), 0) for c, a in zip(contexts, asked, strict=True) for b in a]
     none = Trie.build(np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint16), 1 << 48)
     assert none.lookup(np.array([3]), np.array([1]), np.array([4], np.uint32)).tolist() == [0]
+
+
+def test_distinct_numbers_and_packed_bytes():
+    rng = np.random.default_rng(8)
+    for kind, top in ((np.int64, 50), (np.int64, 1 << 62), (np.uint64, 1 << 40), (np.uint64, (1 << 64) - 1)):
+        for n in (0, 1, 2, 255, 256, 3000):
+            numbers = rng.integers(0, top, n, dtype=kind)
+            numbers[n // 2 :] = numbers[: n - n // 2]
+            numbers[:1] = np.iinfo(kind).min if top == 1 << 62 and n == 3000 else numbers[:1]
+            values, of = lm.distinct(numbers)
+            want = np.unique(numbers)
+            assert values.dtype == kind and values.tolist() == want.tolist() and (values[of] == numbers).all()
+    for k in (2, 3, 4, 6, 8):
+        numbers = rng.integers(0, 1 << (8 * k - 1), 500)
+        assert lm._numbers(lm._planes(numbers, k), k).tolist() == lm._grown(lm._shrunk(numbers, k), k).tolist() == numbers.tolist()
+    assert lm._grown(lm._shrunk(np.zeros(0, np.int64))).tolist() == []
+
+
+def test_cpu_of_messages():
+    counts = np.minimum(np.random.default_rng(9).zipf(1.3, 1_000_000), 10**6).astype(np.int64)
+    took = {}
+    for name, f in (("ours", lambda: lm._grown(lm._shrunk(counts))), ("zlib", lambda: zlib.compress(lm._planes(counts, 4), 1))):
+        f()
+        start = time.process_time()
+        for _ in range(3):
+            f()
+        took[name] = time.process_time() - start
+    assert took["ours"] < took["zlib"]
