@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from . import bytesops as bo
 from .scratch import dropped, written
+from .subword import _ranges
 
 DEPTH, COVERED, GROUP_PAGES, GROUP_BYTES = 8, 0.8, 2048, 4 << 20
 TEMPLATE, LEAST_PAGES = 2 / 3, 20
@@ -228,9 +229,9 @@ def windows(words: np.ndarray, depth: int = DEPTH) -> np.ndarray:
 #: 2: text of an article); the number of their words.
 PARSED = "struct<texts:array<string>, kinds:array<int>, n:bigint>"
 _PARSED = pa.struct([("texts", pa.list_(pa.string())), ("kinds", pa.list_(pa.int32())), ("n", pa.int64())])
-#: Of a page's stream the words that go into the array and their places in it; the words of all its blocks.
-STREAM = "struct<words:binary, places:binary, sizes:array<int>>"
-_STREAM = pa.struct([("words", pa.binary()), ("places", pa.binary()), ("sizes", pa.list_(pa.int32()))])
+#: Of a page's stream the words that go into the array and their runs of adjacent places in it; the words of all its blocks.
+STREAM = "struct<words:binary, runs:binary, sizes:array<int>>"
+_STREAM = pa.struct([("words", pa.binary()), ("runs", pa.binary()), ("sizes", pa.list_(pa.int32()))])
 #: By bin, the pages with a window in it, and whether one of these touches loose text (null: none does).
 BINNED = pa.schema([("host", pa.string()), ("part", pa.int64()), ("counts", pa.binary()), ("loose", pa.binary())])
 _DDL = "host string, part bigint, counts binary, loose binary"
@@ -351,10 +352,20 @@ def _used(texts: pa.ListArray, bins: pa.Array, depth: int, bits: int) -> pa.Arra
             hits = whole[a:b] & known[1][(hashes[a:b] >> np.uint64(64 - bits)).astype(np.int64)]
             places = np.flatnonzero(_spread(hits, depth))
             if len(places):
-                out[row + k] = dict(words=words[a:b][places].tobytes(), places=places.tobytes(), sizes=sizes[first[k] : first[k + 1]].tolist())
+                out[row + k] = dict(words=words[a:b][places].tobytes(), runs=_as_runs(places), sizes=sizes[first[k] : first[k + 1]].tolist())
     return pa.array(out, _STREAM)
 
 
+def _as_runs(places: np.ndarray) -> bytes:
+    """Starts and lengths of the runs of adjacent places."""
+    first = np.flatnonzero(np.append(True, np.diff(places) != 1))
+    return np.concatenate((places[first], np.diff(np.append(first, len(places))))).tobytes()
+
+
+def _places(runs: bytes) -> np.ndarray:
+    return _ranges(*np.frombuffer(runs, np.int64).reshape(2, -1))
+
+
 def _runs(places: np.ndarray, page: np.ndarray) -> np.ndarray:
     """Numbers of the runs of adjacent places of a page."""
     return np.cumsum(np.append(True, (np.diff(places) != 1) | (page[1:] != page[:-1]))) if len(places) else places
@@ -366,10 +377,10 @@ def _boilerplate(rows: pa.Table, depth: int) -> pa.Table:
     more = np.array(known.column("window").to_pylist(), np.int64).view(np.uint64), np.array(known.column("pages").to_pylist(), np.int64)
     pages = rows.filter(pc.is_valid(rows.column("key")))
     found, seen, streams = [], set(), []
-    for key, words, places, sizes, kinds in zip(*(pages.column(c).to_pylist() for c in ("key", "words", "places", "sizes", "kinds")), strict=True):
+    for key, words, runs, sizes, kinds in zip(*(pages.column(c).to_pylist() for c in ("key", "words", "runs", "sizes", "kinds")), strict=True):
         if key not in seen:
             seen.add(key)
-            streams.append((key, np.frombuffer(words, np.uint64), np.frombuffer(places, np.int64), sizes, kinds))
+            streams.append((key, np.frombuffer(words, np.uint64), _places(runs), sizes, kinds))
     if streams:
         page = np.repeat(np.arange(len(streams)), [len(s[1]) for s in streams])
         n = pages_with(np.concatenate([s[1] for s in streams]), page, more, depth, _runs(np.concatenate([s[2] for s in streams]), page))
@@ -405,10 +416,10 @@ def extract(pages: DataFrame, depth: int = DEPTH, group_pages: int = GROUP_PAGES
         return _used(texts, bins, depth, bits)
 
     @F.arrow_udf("array<bigint>")
-    def windows_of(words: pa.Array, places: pa.Array) -> pa.Array:
+    def windows_of(words: pa.Array, runs: pa.Array) -> pa.Array:
         out = []
-        for w, p in zip(words.to_pylist(), places.to_pylist(), strict=True):
-            w, p = np.frombuffer(w, np.uint64), np.frombuffer(p, np.int64)
+        for w, r in zip(words.to_pylist(), runs.to_pylist(), strict=True):
+            w, p = np.frombuffer(w, np.uint64), _places(r)
             out.append(np.unique(windows(w, depth)[_whole(_runs(p, np.zeros(len(p))), depth)]).view(np.int64).tolist())
         return pa.array(out, pa.list_(pa.int64()))
 
@@ -424,10 +435,10 @@ def extract(pages: DataFrame, depth: int = DEPTH, group_pages: int = GROUP_PAGES
     grouped = streams.join(large, "host", "left").withColumn("group", F.pmod(F.xxhash64("key"), F.coalesce("groups", F.lit(1))))
     # Of large hosts, each different page once: the windows that occur in two groups. Counts are combined before the shuffle.
     once = grouped.where("groups > 1").dropDuplicates(["host", "key"])
-    apart = once.select("host", "group", F.explode(windows_of(F.col("words"), F.col("places"))).alias("window")).groupBy("host", "group", "window").agg(F.count("*").alias("n"))
+    apart = once.select("host", "group", F.explode(windows_of(F.col("words"), F.col("runs"))).alias("window")).groupBy("host", "group", "window").agg(F.count("*").alias("n"))
     # The list has a number for each group of the host at most.
     shared = apart.groupBy("host", "window").agg(F.sum("n").alias("pages"), F.collect_list("group").alias("in")).where(F.size("in") > 1)
-    columns = {"of_host": "bigint", "key": "string", "words": "binary", "places": "binary", "sizes": "array<int>", "kinds": "array<int>"}
+    columns = {"of_host": "bigint", "key": "string", "words": "binary", "runs": "binary", "sizes": "array<int>", "kinds": "array<int>"}
     known = shared.select("host", F.explode("in").alias("group"), "window", "pages").selectExpr("host", "`group`", *(f"cast(null as {t}) as {c}" for c, t in columns.items()), "window", "pages")
     rows = grouped.selectExpr("host", "`group`", *columns, "cast(null as bigint) as window", "cast(null as bigint) as pages").unionByName(known)
     dropped_blocks = rows.groupBy("host", "group").applyInArrow(lambda t: _boilerplate(t, depth), "key string, drop array<boolean>")
