@@ -72,6 +72,10 @@ class EliasFano:
 
     def successor(self, x: np.ndarray, first: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> np.ndarray:
         """Index of the least value >= x among those with first <= index < end (or end, if there is none)."""
+        return self.search(x, first, end)[0]
+
+    def search(self, x: np.ndarray, first: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """successor(), and whether it is x itself."""
         x = np.asarray(x, np.int64)
         end = np.broadcast_to(self.n if end is None else end, x.shape)
         bucket = x >> self.l
@@ -81,7 +85,7 @@ class EliasFano:
         hi = np.where(bucket < total, self._select(np.minimum(bucket, total - 1), self.zeros, 255) - bucket, self.n)
         lo = np.where(bucket - 1 >= total, self.n, lo)
         lo, hi = np.clip(lo, first, end), np.clip(np.minimum(hi, self.n), first, end)
-        low = x & ((1 << self.l) - 1)
+        low, last = x & ((1 << self.l) - 1), hi.copy()
         open_ = np.flatnonzero(lo < hi)
         while len(open_):
             mid = (lo[open_] + hi[open_]) >> 1
@@ -89,7 +93,11 @@ class EliasFano:
             lo[open_] = np.where(less, mid + 1, lo[open_])
             hi[open_] = np.where(less, hi[open_], mid)
             open_ = open_[lo[open_] < hi[open_]]
-        return lo
+        # What lies before the bucket's end has x's high part.
+        found = lo < last
+        at = np.flatnonzero(found)
+        found[at] = self._low(lo[at]) == low[at]
+        return lo, found
 
 
 class Trie:
@@ -132,13 +140,11 @@ class Trie:
         if not self.contexts.n or not len(second):
             return out
         contexts = contexts.astype(np.int64)
-        c = self.contexts.successor(contexts)
-        known = (c < self.contexts.n) & (self.contexts.get(np.minimum(c, self.contexts.n - 1)) == contexts)
+        c, known = self.contexts.search(contexts)
         c = np.where(known, c, 0)
         low, high, c = (np.repeat(x, sizes) for x in (self.pointers.get(c), self.pointers.get(c + 1), c))
         at = np.flatnonzero(np.repeat(known, sizes))
         x = c[at] << 32 | second[at].astype(np.int64)
-        i = self.successors.successor(x, low[at], high[at])
-        hit = (i < high[at]) & (self.successors.get(np.minimum(i, self.successors.n - 1)) == x)
+        i, hit = self.successors.search(x, low[at], high[at])
         out[at[hit]] = self.codes[i[hit]]
         return out

@@ -243,16 +243,21 @@ class Block:
             keys = bo.mix(self.words)
             order = np.argsort(keys)
             return order, keys[order], np.ones(len(order), np.int64), order
-        salts = 1 + self.seen[self.context] // self.salt_tokens
-        order, salt, hot = np.arange(len(self.word)), np.zeros(len(self.word), np.uint64), np.flatnonzero(salts > 1)
-        salt[hot] = bo.mix(self.words[self.word[hot]]) % salts[hot].astype(np.uint64)
-        order[hot] = hot[np.lexsort((salt[hot], self.context[hot]))]
-        context, salt = self.context[order], salt[order]
-        at = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (salt[1:] != salt[:-1])))
+        order, new = np.arange(len(self.word)), np.append(True, self.context[1:] != self.context[:-1])
+        salt, hot = np.zeros(len(self.word), np.uint64), np.flatnonzero((self.seen >= self.salt_tokens)[self.context])
+        if len(hot):
+            # Places change within a context only.
+            salt[hot] = bo.mix(self.words[self.word[hot]]) % (1 + self.seen[self.context[hot]] // self.salt_tokens).astype(np.uint64)
+            order[hot] = hot[np.lexsort((salt[hot], self.context[hot]))]
+            salt = salt[order]
+            new[1:] |= salt[1:] != salt[:-1]
+        at = np.flatnonzero(new)
+        context = self.context[at]
         with np.errstate(over="ignore"):
-            keys = bo.mix(self.context_hashes[context[at]] * np.uint64(31) + salt[at])
+            keys = bo.mix(self.context_hashes[context] * np.uint64(31) + salt[at])
         by, sizes = np.argsort(keys), np.diff(np.append(at, len(order)))
-        return order[_ranges(at[by], sizes[by])], keys[by], sizes[by], context[at][by]
+        places = _ranges(at[by], sizes[by])
+        return order[places] if len(hot) else places, keys[by], sizes[by], context[by]
 
     def messages(self, shards: int) -> list[tuple]:
         order, keys, sizes, context = self.laid_out()

@@ -181,3 +181,16 @@ def test_cpu_of_messages():
             f()
         took[name] = time.process_time() - start
     assert took["ours"] < took["zlib"]
+
+
+def test_search_finds_what_is_there():
+    rng = np.random.default_rng(10)
+    for n, top in ((0, 5), (1, 1), (40, 60), (300, 1 << 20), (300, 1 << 50), (2000, 2001)):
+        values = np.sort(rng.integers(0, top, n))
+        count, low_bits, low, high = EliasFano.arrays(values, top)
+        sequence = EliasFano(count, low_bits, low, high)
+        x = np.concatenate((rng.integers(0, top, 200), values, np.maximum(values - 1, 0), [0, top - 1]))
+        first, end = np.sort(rng.integers(0, n + 1, (2, len(x))), axis=0)
+        place, found = sequence.search(x, first, end)
+        assert place.tolist() == [a + int(np.searchsorted(values[a:b], y)) for y, a, b in zip(x, first, end, strict=True)]
+        assert found.tolist() == [y in values[a:b] for y, a, b in zip(x, first, end, strict=True)]
