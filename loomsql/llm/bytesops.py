@@ -45,6 +45,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return found
 
 
+def forget() -> None:
+    """Give the powers' memory back, where a worker goes on to steps without texts."""
+    _powers[:] = []
+
+
 def texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """The column as one large_string array in which a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

@@ -55,6 +55,8 @@ STEPS = 2000
 SECOND = {2: 4, 3: 3}
 #: Steps to a factor of e in the probability that goes with a word, which is one byte.
 LOW_STEPS = 8
+#: Bytes of messages that a block hands over at once, about.
+BATCH_BYTES = 1 << 20
 
 BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.binary()), ("words", pa.binary()), ("tokens", pa.binary()), ("n_train", pa.int64()), ("n_docs", pa.int64()), ("counts", pa.list_(pa.binary())), ("codes", pa.list_(pa.binary()))])
 MESSAGE = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("sizes", pa.binary()), ("totals", pa.binary()), ("seconds", pa.binary()), ("low", pa.binary()), ("counts", pa.binary())])
@@ -103,24 +105,33 @@ def _grown(data: bytes, k: int = 4) -> np.ndarray:
     return _numbers(_unpacked(data), k).view(np.int64)
 
 
+def _index(n: int) -> type:
+    """The kind of number that places among n are kept as."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
 def distinct(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct numbers, ascending, and the place of each number among them. Where a number and its place fit into 64
     bits, these are sorted as one."""
-    n = len(numbers)
+    n, kind = len(numbers), numbers.dtype
     least = numbers.min() if n else 0
     bits = n.bit_length()
     if not n or int(numbers.max()) - int(least) >= 1 << (64 - bits):
         return np.unique(numbers, return_inverse=True)
-    both = (numbers - least).astype(np.uint64) << np.uint64(bits)
+    both = (numbers - least).view(np.uint64)
+    del numbers  # a caller that keeps no name for them has their memory back
+    both <<= np.uint64(bits)
     both |= np.arange(n, dtype=np.uint64)
     both.sort()
     place = (both & np.uint64((1 << bits) - 1)).view(np.int64)
     both >>= np.uint64(bits)
     new = np.empty(n, bool)
     new[0], new[1:] = True, both[1:] != both[:-1]
-    of = np.empty(n, np.int64)
-    of[place] = np.cumsum(new) - 1
-    return both[new].astype(numbers.dtype) + least, of
+    both = both[new]
+    of = np.empty(n, _index(n))
+    of[place] = np.cumsum(new, dtype=of.dtype)
+    of -= 1
+    return both.view(kind) + least, of
 
 
 def tokens_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -192,20 +203,24 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
                 ids, keys, sizes, total, k = [], [], [], 0, k + 1
     if ids:
         yield pack()
+    bo.forget()
 
 
 class Block:
     """A block's distinct n-grams, at the last order whose counts have come back or the one after it."""
 
     def __init__(self, row: dict, train_tokens: int, types: int, train_docs: int, salt_tokens: int = SALT_TOKENS):
-        self.row, self.order, self.train_docs, self.salt_tokens = row, 1, train_docs, salt_tokens
-        self.tokens = _grown(row["tokens"])
+        self.number, self.order, self.train_docs, self.salt_tokens = row["block"], 1, train_docs, salt_tokens
+        tokens = _grown(row["tokens"])
+        self.tokens = tokens.astype(_index(len(tokens)))
         self.words = _numbers(row["words"], 6) << np.uint64(16) if row["counts"] else _numbers(row["words"], 8)
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         self.train = np.repeat(~np.array(row["held_out"], bool), self.sizes)
         self.first = np.cumsum(self.sizes) - self.sizes
-        #: The n-gram at each place, the hashes of the distinct ones.
-        self.of, self.hashes = self.tokens, self.words
+        #: The n-gram at each place, and of the distinct ones their number, contexts and last words.
+        self.of, self.n = self.tokens, len(self.words)
+        self.context = self.word = self.context_hashes = self.seen = self.low = None
+        self.counts = self.p = None
         if row["counts"]:
             self.counts = _grown(row["counts"][0], 6)
             self.p = (self.counts + 0.1) / (train_tokens + 0.1 * (types + 1))
@@ -215,20 +230,38 @@ class Block:
                 self.learn(_grown(row["counts"][k + 1], 6) if k + 1 < len(row["counts"]) else None, _grown(row["codes"][k], 2))
 
     def longer(self) -> None:
-        """On to the next order."""
-        contexts = np.empty_like(self.of)
-        contexts[1:] = self.of[:-1]
-        contexts[self.first] = len(self.hashes)
-        hashes, seen = np.append(self.hashes, START), np.append(self.counts, self.train_docs)
+        """On to the next order. What only the last one needed goes first: a block's memory is a task's."""
+        hashes, shorter, p = self.hashes(), self.of, self.p
+        self.seen = np.append(self.counts, self.train_docs)
+        self.context = self.word = self.low = self.counts = self.p = None
         bits = len(self.words).bit_length()
-        grams, of = distinct(contexts << bits | self.tokens)
-        self.context, self.word = grams >> bits, grams & ((1 << bits) - 1)
-        shorter = np.empty(len(grams), np.int64)
-        shorter[of] = self.of
+        grams, self.of = distinct(self._joined(bits))
+        self.context, self.word = (grams >> bits).astype(_index(len(hashes) + 1)), (grams & ((1 << bits) - 1)).astype(self.tokens.dtype)
+        self.n, self.order, self.context_hashes = len(grams), self.order + 1, np.append(hashes, START)
+        del grams, hashes
+        of_shorter = np.empty(self.n, shorter.dtype)
+        of_shorter[self.of] = shorter
+        self.low = p[of_shorter]
+
+    def _joined(self, bits: int) -> np.ndarray:
+        """At each place the n-gram before it, or the start's number, and the word there."""
+        out = np.empty(len(self.of), np.int64)
+        out[1:] = self.of[:-1]
+        out[self.first] = self.n
+        out <<= bits
+        out |= self.tokens
+        return out
+
+    def hashes(self) -> np.ndarray:
+        """Of the distinct n-grams."""
+        if self.order == 1:
+            return self.words
         with np.errstate(over="ignore"):
-            self.hashes = bo.mix(hashes[self.context] * np.uint64(0x9E3779B97F4A7C15) + self.words[self.word] + np.uint64(1))
-        self.of, self.order, self.low = of, self.order + 1, self.p[shorter]
-        self.context_hashes, self.seen = hashes, seen
+            out = self.context_hashes[self.context]
+            out *= np.uint64(0x9E3779B97F4A7C15)
+            out += self.words[self.word]
+            out += np.uint64(1)
+        return bo.mix(out)
 
     def learn(self, counts: np.ndarray | None, codes: np.ndarray) -> None:
         """The counts of the distinct n-grams, and the codes of their probabilities; what has none goes by the shorter."""
@@ -243,36 +276,42 @@ class Block:
             keys = bo.mix(self.words)
             order = np.argsort(keys)
             return order, keys[order], np.ones(len(order), np.int64), order
-        order, new = np.arange(len(self.word)), np.append(True, self.context[1:] != self.context[:-1])
-        salt, hot = np.zeros(len(self.word), np.uint64), np.flatnonzero((self.seen >= self.salt_tokens)[self.context])
+        new = np.append(True, self.context[1:] != self.context[:-1])
+        order, salt, hot = None, None, np.flatnonzero((self.seen >= self.salt_tokens)[self.context])
         if len(hot):
             # Places change within a context only.
+            order, salt = np.arange(self.n, dtype=_index(self.n)), np.zeros(self.n, np.uint32)
             salt[hot] = bo.mix(self.words[self.word[hot]]) % (1 + self.seen[self.context[hot]] // self.salt_tokens).astype(np.uint64)
             order[hot] = hot[np.lexsort((salt[hot], self.context[hot]))]
             salt = salt[order]
             new[1:] |= salt[1:] != salt[:-1]
         at = np.flatnonzero(new)
+        del new, hot
         context = self.context[at]
         with np.errstate(over="ignore"):
-            keys = bo.mix(self.context_hashes[context] * np.uint64(31) + salt[at])
-        by, sizes = np.argsort(keys), np.diff(np.append(at, len(order)))
-        places = _ranges(at[by], sizes[by])
-        return order[places] if len(hot) else places, keys[by], sizes[by], context[by]
-
-    def messages(self, shards: int) -> list[tuple]:
+            keys = self.context_hashes[context]
+            keys *= np.uint64(31)
+            if salt is not None:
+                keys += salt[at]
+            keys = bo.mix(keys)
+        by, sizes = np.argsort(keys), np.diff(np.append(at, self.n))
+        keys, sizes, context = keys[by], sizes[by], context[by]
+        places = _ranges(at[by], sizes).astype(_index(self.n))
+        return places if order is None else order[places], keys, sizes, context
+
+    def messages(self, shards: int) -> Iterator[tuple]:
         order, keys, sizes, context = self.laid_out()
-        counts = np.bincount(self.of, self.train, len(self.hashes)).astype(np.int64)[order]
+        counts = np.bincount(self.of[self.train], minlength=self.n).astype(_index(len(self.of)))
         bounds = np.searchsorted(_shard(keys, shards), np.arange(shards + 1))
-        ends, out = np.concatenate(([0], np.cumsum(sizes))), []
+        ends = np.concatenate(([0], np.cumsum(sizes)))
         for s in np.flatnonzero(np.diff(bounds)).tolist():
             a, b = bounds[s : s + 2]
-            c, d = ends[a], ends[b]
+            grams = order[ends[a] : ends[b]]
             if self.order == 1:
-                out.append((s, self.row["block"], _planes(np.diff(keys[a:b], prepend=np.uint64(0)), 8), None, None, None, None, _shrunk(counts[c:d])))
+                yield s, self.number, _planes(np.diff(keys[a:b], prepend=np.uint64(0)), 8), None, None, None, None, _shrunk(counts[grams])
                 continue
-            short, grams = keys[a:b] >> np.uint64(16), order[c:d]
-            out.append((s, self.row["block"], _planes(np.diff(short, prepend=np.uint64(0)), 6), _shrunk(sizes[a:b]), _shrunk(self.seen[context[a:b]], 6), _planes(_second(self.words[self.word[grams]], self.order), SECOND[min(self.order, 3)]), _packed(_low_coded(self.low[grams]).tobytes()), _shrunk(counts[c:d])))
-        return out
+            short = keys[a:b] >> np.uint64(16)
+            yield s, self.number, _planes(np.diff(short, prepend=np.uint64(0)), 6), _shrunk(sizes[a:b]), _shrunk(self.seen[context[a:b]], 6), _planes(_second(self.words[self.word[grams]], self.order), SECOND[min(self.order, 3)]), _packed(_low_coded(self.low[grams]).tobytes()), _shrunk(counts[grams])
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -288,11 +327,18 @@ def _sent(batches: Iterator[pa.RecordBatch], numbers: tuple, shards: int) -> Ite
     """A block's messages of the order after those that it has the counts of."""
     for batch in batches:
         for k in range(batch.num_rows):  # one block at a time
-            row = batch.slice(k, 1).to_pylist()[0]
-            block = Block(row, *numbers)
-            if row["counts"]:
+            block = Block(batch.slice(k, 1).to_pylist()[0], *numbers)
+            if block.counts is not None:
                 block.longer()
-            yield _batch(block.messages(shards), MESSAGE)
+            out, total = [], 0
+            for message in block.messages(shards):
+                out.append(message)
+                total += sum(len(x) for x in message[2:] if x is not None)
+                if total >= BATCH_BYTES:
+                    yield _batch(out, MESSAGE)
+                    out, total = [], 0
+            if out:
+                yield _batch(out, MESSAGE)
 
 
 def _counted(table: pa.Table) -> pa.Table:
@@ -312,15 +358,16 @@ def _answered(table: pa.Table, order: int, last: bool) -> pa.Table:
     contexts, of_group = distinct(np.concatenate(keys))
     seen = np.empty(len(contexts), np.int64)
     seen[of_group] = np.concatenate([_grown(x, 6) for x in col["totals"]])
-    # Distinct n-grams as (context's number, second word), ascending.
-    grams = np.repeat(of_group.astype(np.uint64) << np.uint64(32), np.concatenate(sizes))
+    # Distinct n-grams as (context's number, second word), ascending: in few bits, so that distinct() sorts them as one.
+    bits = 8 * SECOND[min(order, 3)]
+    grams = np.repeat(of_group.astype(np.uint64) << np.uint64(bits), np.concatenate(sizes))
     grams |= np.concatenate([_numbers(x, SECOND[min(order, 3)]) for x in col.pop("seconds")])
     del keys, sizes, of_group
     grams, of = distinct(grams)
     n = np.bincount(of, np.concatenate([_grown(x) for x in col["counts"]]), len(grams))
     low_of = np.empty(len(grams), np.uint8)
     low_of[of] = np.frombuffer(b"".join(_unpacked(x) for x in col.pop("low")), np.uint8)
-    context, second = (grams >> np.uint64(32)).astype(np.int64), (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    context, second = (grams >> np.uint64(bits)).astype(np.int64), (grams & np.uint64((1 << bits) - 1)).astype(np.uint32)
     some = n > 0
     c, m = seen[context[some]], left(order, seen)[context[some]]
     p = (1 - m) * n[some] / np.maximum(c, 1) + m * _low_decoded(low_of[some])
@@ -334,11 +381,13 @@ def _answered(table: pa.Table, order: int, last: bool) -> pa.Table:
 def _returned(block: Block, answers: pa.Table) -> tuple[np.ndarray | None, np.ndarray | None]:
     """Counts and codes of a block's distinct n-grams, from the shards' answers."""
     answers, order, out = answers.sort_by("shard"), block.laid_out()[0], []
-    for name, grown, kind in (("counts", lambda x: _grown(x, 6), np.int64), ("codes", lambda x: _grown(x, 2), np.uint16)):
-        parts = [grown(x) for x in answers.column(name).to_pylist() if x is not None]
+    for name, size, kind in (("counts", 6, np.int64), ("codes", 2, np.uint16)):
+        parts, place = [x for x in answers.column(name) if x.is_valid], 0
         out.append(np.empty(len(order), kind) if parts else None)
-        if parts:
-            out[-1][order] = np.concatenate(parts)
+        for x in parts:  # one shard's at a time
+            part = _grown(x.as_py(), size)
+            out[-1][order[place : place + len(part)]] = part
+            place += len(part)
     return tuple(out)
 
 
@@ -362,16 +411,14 @@ def _scored(blocks: pa.Table, answers: pa.Table | None, numbers: tuple) -> pa.Ta
     out = [SCORES.empty_table()]
     for row in blocks.to_pylist():
         block = Block(row, *numbers)
-        base, known = np.log10(block.p)[block.tokens] if not row["codes"] else None, block.known[block.tokens]
-        if base is None:
-            base = np.log10((_grown(row["counts"][0], 6) + 0.1) / (numbers[0] + 0.1 * (numbers[1] + 1)))[block.tokens]
-        score = base
+        add = lambda x: np.add.reduceat(x, block.first)  # noqa: E731, B023
+        known = add(block.known[block.tokens].astype(np.int64))
+        base = score = add(np.log10((_grown(row["counts"][0], 6) + 0.1) / (numbers[0] + 0.1 * (numbers[1] + 1)))[block.tokens])
         if answers is not None:
             block.longer()
             block.learn(*_returned(block, answers))
-            score = np.log10(block.p)[block.of]
-        add = lambda x: np.add.reduceat(x, block.first)
-        out.append(pa.table([row["doc_ids"], row["held_out"], block.sizes, add(known.astype(np.int64)), np.full(len(block.sizes), numbers[0]), add(base), add(score)], schema=SCORES))
+            score = add(np.log10(block.p)[block.of])
+        out.append(pa.table([row["doc_ids"], row["held_out"], block.sizes, known, np.full(len(block.sizes), numbers[0]), base, score], schema=SCORES))
     return pa.concat_tables(out)
 
 

@@ -3,10 +3,12 @@
 import math
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +196,51 @@ def test_search_finds_what_is_there():
         place, found = sequence.search(x, first, end)
         assert place.tolist() == [a + int(np.searchsorted(values[a:b], y)) for y, a, b in zip(x, first, end, strict=True)]
         assert found.tolist() == [y in values[a:b] for y, a, b in zip(x, first, end, strict=True)]
+
+
+def stepped(monkeypatch, rows, shards, salt_tokens):
+    """All steps in this process, one block: scores, the most bytes that each step had at once, the sender's batches."""
+    monkeypatch.setattr("pyspark.TaskContext", type("Context", (), {"get": classmethod(lambda c: c), "partitionId": staticmethod(lambda: 0)}))
+    peaks, batches = {}, []
+
+    def traced(name, f):
+        tracemalloc.start()
+        out = f()
+        peaks[name] = max(peaks.get(name, 0), tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        return out
+
+    def size(table):
+        return table.append_column("n", [[sum(len(x) for x in r.values() if isinstance(x, bytes)) for r in table.to_pylist()]])
+
+    [block] = lm._blocks(iter([pa.record_batch({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})]), 10**9)
+    tokens, docs, types = block["n_train"][0].as_py(), block["n_docs"][0].as_py(), 0
+    block = pa.Table.from_batches([block])
+    for k in (1, 2, 3):
+        numbers = (tokens, types, docs, salt_tokens)
+        for f in traced(f"send {k}", lambda: [pa.Table.from_batches([b]) for b in lm._sent(iter(block.to_batches()), numbers, shards)]):
+            batches.append((k, size(f)))
+        sent = pa.concat_tables([b.drop(["n"]) for o, b in batches if o == k])
+        answers = [traced(f"answer {k}", lambda s=s: lm._answerer(k, k == 3)(sent.filter(pa.compute.equal(sent["shard"], s)))) for s in range(shards)]
+        types = types or sum(sum(a["types"].to_pylist()) for a in answers)
+        answers, numbers = pa.concat_tables(answers), (tokens, types, docs, salt_tokens)
+        block = traced(f"merge {k}", lambda: (lm._scorer(numbers, 3) if k == 3 else lm._merger(numbers))(block, answers))
+    return [tuple(r.values()) for r in block.to_pylist()], peaks, batches
+
+
+@pytest.fixture
+def large():
+    rng = np.random.default_rng(11)
+    return [(i, " ".join(f"w{x}" for x in np.minimum(rng.zipf(1.2, 2000), 50_000))) for i in range(150)]
+
+
+def test_memory_of_a_block(monkeypatch, large):
+    """Of a task's steps over one block, in bytes a token; the messages go out in small batches."""
+    got, peaks, batches = stepped(monkeypatch, large, 8, 5000)
+    tokens = sum(r[2] for r in got)
+    assert max(peaks.values()) < 80 * tokens
+    for _, b in batches:
+        assert sum(b["n"].to_pylist()[:-1]) < lm.BATCH_BYTES  # the last one fills it
+    assert sum(k == 3 for k, _ in batches) > 1
+    for one, two in zip(got, slow(large, 3), strict=True):
+        assert one[:5] == two[:5] and one[5:] == pytest.approx(two[5:], rel=1e-3)  # of many words after a frequent pair two may share 24 bits
