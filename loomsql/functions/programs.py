@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -116,7 +117,16 @@ def _renamed(text: Column, pairs: Column) -> Column:
 
 def canonical(p: Column) -> Column:
     """Aliases s1, s2, ... in FROM order, upper-case join types and directions, and the hash of the result (made while the
-    old one still stands in it). An ON expression knows the aliases up to its own join."""
+    old one still stands in it). An ON expression knows the aliases up to its own join.
+
+    Of a named column only the fields that are asked for are made. A longer expression stands in the result once: its copies
+    would make the plan of a program that is canonicalized twice too large for the driver."""
+    if re.fullmatch(r"Column<'[\w.]+'>", str(p)):
+        return _canonical(p)
+    return F.get(F.transform(F.array(p), _canonical), 0)
+
+
+def _canonical(p: Column) -> Column:
     pairs = _pairs(p)
     named = lambda t, k: t.withField("alias", F.get(pairs, k)["new"])
     swap = lambda items: F.transform(items, lambda x: x.withField("expression", _renamed(x["expression"], pairs)))

@@ -99,6 +99,20 @@ def test_normalization(spark):
     assert sql(spark, p, lambda c: P.render(P.canonical(P.canonical(c)))) == canonical
 
 
+def test_repeated_canonicalization_keeps_plans_small(spark):
+    """The driver's memory holds a plan many times over while it is optimized."""
+    p = program.generate(BY_NAME["logistics"], template_id="t", complexity="hard", seed=3)
+    column, found = F.col("program"), []
+    for _ in range(3):
+        column = P.canonical(column)
+        found.append((len(str(column)), sql(spark, p, lambda c, column=column: column)))
+    assert found[1][0] < 3 * found[0][0] and found[2][0] < 4 * found[0][0]
+    without_hash = [{k: v for k, v in r.asDict(recursive=True).items() if k != "metadata"} for _, r in found]
+    assert without_hash[0] == without_hash[1] == without_hash[2]
+    # The hash is of the result with the old hash in it, so it is another one each time.
+    assert len({r["metadata"]["program_hash"] for _, r in found}) == 3
+
+
 def test_cap_keeps_first_of_each_variant(spark):
     rows = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "a", "x"), (4, "a", "y"), (5, "a", ""), (6, "a", None)], "pos long, g string, v string")
     kept = dedup.cap_variants(rows, F.col("g"), F.col("v"), F.col("pos").cast("string"), "pos", 3).orderBy("group_first", "pos")
