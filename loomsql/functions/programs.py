@@ -32,7 +32,17 @@ def _clause(word: str, items: Column, by: str, text=lambda x: x["expression"]) -
     return F.when(F.size(items) > 0, F.concat(F.lit(word), F.array_join(F.transform(items, text), by)))
 
 
+def _once(p: Column, f) -> Column:
+    """f(p), with p in it once and made once a row."""
+    return F.get(F.transform(F.array(p), f), 0)
+
+
 def render(p: Column) -> Column:
+    """The text. What _once() gave is made once here too; of other expressions only the fields that the text needs are."""
+    return _once(p, _render) if str(p).startswith("Column<'get(transform(array(") else _render(p)
+
+
+def _render(p: Column) -> Column:
     table = lambda t: F.concat(t["name"], F.lit(" AS "), t["alias"])
     joins = F.transform(p["joins"], lambda j: F.concat(j["join_type"], F.lit(" "), table(j["right_table"]), F.lit(" ON "), j["on_expression"]))
     return F.concat_ws(
@@ -123,7 +133,7 @@ def canonical(p: Column) -> Column:
     would make the plan of a program that is canonicalized twice too large for the driver."""
     if re.fullmatch(r"Column<'[\w.]+'>", str(p)):
         return _canonical(p)
-    return F.get(F.transform(F.array(p), _canonical), 0)
+    return _once(p, _canonical)
 
 
 def _canonical(p: Column) -> Column:

@@ -107,6 +107,8 @@ def test_repeated_canonicalization_keeps_plans_small(spark):
         column = P.canonical(column)
         found.append((len(str(column)), sql(spark, p, lambda c, column=column: column)))
     assert found[1][0] < 3 * found[0][0] and found[2][0] < 4 * found[0][0]
+    once = P.render(P.canonical(F.col("program")))
+    assert len(str(P.render(column))) < len(str(column)) + len(str(once)) and sql(spark, p, lambda c: P.render(column)) == sql(spark, p, lambda c: once)
     without_hash = [{k: v for k, v in r.asDict(recursive=True).items() if k != "metadata"} for _, r in found]
     assert without_hash[0] == without_hash[1] == without_hash[2]
     # The hash is of the result with the old hash in it, so it is another one each time.
